@@ -8,12 +8,16 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy working set may cover; a longer document is a set of its own.
 CHUNK_BYTES = 2_000_000
 
+#: A longer text is not learned from, so that a bounded number of rows is a bounded number of bytes.
+LEARN_BYTES = 1_000_000
+
 #: Word pattern of the contracts that split on ASCII white space.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 
@@ -45,7 +49,7 @@ def text_chunks(batches: Iterable[pa.RecordBatch], column: str = "text", max_byt
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.array([len(x) if (x := v.as_buffer()) is not None else 0 for v in batch.column(column).cast(pa.binary())])
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for row, size in enumerate(sizes.tolist()):
             if held and held + size > max_bytes:
@@ -95,3 +99,32 @@ class TokenTable:
                 ids = np.fromiter(map(look, c), np.int64, len(c))
                 out[at] = np.fromiter(c.values(), np.float64, len(c)) @ self.rows[ids]
         return out
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, most: int) -> list[tuple[str, int]]:
+    """At most ``most`` labelled (text, label) rows to learn from, on the driver.
+
+    The rows are those with the smallest hashes of doc_id among the labelled
+    documents outside the held-out fold; ``most`` bounds what is broadcast and
+    what the driver gets.  Equal texts with equal labels count once.
+    """
+    free = labels.filter(F.col(label).isNotNull() & (bucket_of(F.col("doc_id"), modulus) != held))
+    chosen = free.select("doc_id", F.col(label).cast("int").alias("label")).distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most)
+    rows = docs.select("doc_id", "text").filter(F.octet_length("text") <= LEARN_BYTES).join(F.broadcast(chosen), "doc_id").select("text", "label", "doc_id").toArrow()
+    order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
+    pairs = zip(rows.column("text").to_pylist(), rows.column("label").to_pylist())
+    listed = list(pairs)
+    return list(dict.fromkeys(listed[i] for i in order))
+
+
+def scored(docs: DataFrame, score: Callable[[list], np.ndarray], modulus: int, held: int, threshold: float) -> DataFrame:
+    """doc_id, held_out, score, predicted for every document; ``score`` maps a list of texts to numbers."""
+
+    def run(batches):
+        for chunk in text_chunks(batches):
+            p = np.clip(np.asarray(score(chunk.column("text").to_pylist()), np.float64), 0.0, 1.0)
+            yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), chunk.column("held_out"), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    fold = F.coalesce(bucket_of(F.col("doc_id"), modulus) == held, F.lit(False)).alias("held_out")
+    return docs.select("doc_id", fold, "text").mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")
