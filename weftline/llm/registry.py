@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import langid, mixing, quality, tokencount, topk, toxicity
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (mixing.op6_sainte_lague_mix,)}
+    ops = (
+        langid.op1_kneser_ney_langid,
+        quality.op2_random_indexing_quality,
+        tokencount.op4_trie_token_counts,
+        toxicity.op5_segment_toxicity,
+        mixing.op6_sainte_lague_mix,
+        topk.op7_bit_sliced_topk,
+    )
+    return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_sainte_lague_mix": mixing.ORACLE_SQL.format(docs="documents")}
+    return {"op6_sainte_lague_mix": mixing.ORACLE_SQL.format(docs="documents"), "op7_bit_sliced_topk": topk.ORACLE_SQL}
