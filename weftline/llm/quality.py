@@ -1,8 +1,8 @@
 """Quality classifier: random-indexing word vectors, pooled, and a small network.
 
-A white-space token is read as parts: its lower-case core, the marks before and
-after it, its letter case.  Each part has a sparse ternary index vector made from
-its hash; a part's word vector is the sum of the index vectors around it in the
+A text is read as parts: words (in lower case, each with its letter case as a part
+of its own) and runs of marks.  Each part has a sparse ternary index vector made
+from its hash; a part's word vector is the sum of the index vectors around it in the
 learning texts (random indexing).  A document is pooled as the mean vector of all
 its parts plus a few whole-document shares (repeated lines and sentences, cases,
 marks).  A two-layer numpy network reads the pooled vector, and a temperature
@@ -22,7 +22,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import TokenTable, labelled_sample, scored, table
+from .common import labelled_sample, scored, table
 
 MODULUS, HELD = 4, 2
 SAMPLE = 8_000
@@ -30,21 +30,28 @@ INDEX_SAMPLE = 2_000
 THRESHOLD = 0.7
 DIM, NONZERO, WINDOW = 64, 6, 2
 HIDDEN, EPOCHS, RATE = 24, 120, 0.01
-VOCABULARY = 30_000
-SPLIT = re.compile(r"^([\W_]*)(.*?)([\W_]*)$", re.S)
+VOCABULARY = 10_000
+PART = re.compile(r"[^\W_]+|[^\w\s]{1,3}|_+")
 SENTENCE = re.compile(r"[.!?]\s+|\n+")
+CASES = ("<low>", "<cap>", "<up>", "<other>")
 
 
-def parts(token: str) -> list[str]:
-    before, core, after = SPLIT.match(token).groups()
-    case = "<up>" if len(core) > 1 and core.isupper() else "<cap>" if core[:1].isupper() else "<low>" if core.islower() else "<other>"
-    return [*(["<" + before[:3]] if before else []), *([case, core.lower()] if core else []), *([">" + after[:3]] if after else [])]
+def case_of(core: str) -> int:
+    if core.islower():
+        return 0
+    if core.isupper():
+        return 2 if len(core) > 1 else 1
+    return 1 if core[0].isupper() and core[1:].islower() else 3
 
 
-def index_vector(part: str) -> np.ndarray:
-    rng = np.random.default_rng(zlib.crc32(part.encode("utf-8", "surrogatepass")))
-    out = np.zeros(DIM, np.float32)
-    out[rng.permutation(DIM)[:NONZERO]] = rng.choice(np.array([-1, 1], np.float32), NONZERO)
+def index_vectors(parts: list[str]) -> np.ndarray:
+    """Sparse ternary vectors made from the parts' hashes."""
+    code = np.array([zlib.crc32(p.encode("utf-8", "surrogatepass")) for p in parts], np.uint64)
+    out, row = np.zeros((len(parts), DIM), np.float32), np.arange(len(parts))
+    for k in range(NONZERO):
+        h = (code + np.uint64(k + 1)) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+        out[row, (h >> np.uint64(40)).astype(np.int64) % DIM] += np.where(h >> np.uint64(63), 1, -1)
     return out
 
 
@@ -64,36 +71,64 @@ def shares(text: str, bag: Counter) -> list[float]:
 
 
 class WordVectors:
-    """Random-indexing vectors of the frequent parts of the learning texts."""
+    """Random-indexing vectors of the frequent parts of the learning texts.
+
+    A part is a word or a run of marks.  In the stream that is indexed, a word is
+    preceded by its letter case, so cases have word vectors too.
+    """
 
     def __init__(self, texts: list[str]):
-        split: dict[str, list[str]] = {}
-        streams = [[p for token in t.split() for p in (split.get(token) or split.setdefault(token, parts(token)))] for t in texts]
+        streams = []
+        for t in texts:
+            stream: list[str] = []
+            for p in PART.findall(t):
+                stream += (CASES[case_of(p)], p.lower()) if p[0].isalnum() else (p,)
+            streams.append(stream)
         df = Counter(p for s in streams for p in set(s))
-        self.index = {p: i for i, (p, n) in enumerate(sorted(df.items(), key=lambda x: (-x[1], x[0]))[:VOCABULARY]) if n > 1}
-        base = np.stack([index_vector(p) for p in self.index]) if self.index else np.zeros((0, DIM), np.float32)
+        frequent = sorted((x for x in df.items() if x[1] > 1 and x[0] not in CASES), key=lambda x: (-x[1], x[0]))[:VOCABULARY]
+        self.names = [*CASES, *(p for p, _ in frequent)]
+        index = dict(zip(self.names, range(len(self.names))))
+        base = index_vectors(self.names)
         vectors = base.copy()
         for s in streams:
-            ids = np.array([i for p in s if (i := self.index.get(p)) is not None], np.int64)
+            ids = np.array([i for p in s if (i := index.get(p)) is not None], np.int64)
             for gap in range(1, WINDOW + 1):
                 for a, b in ((ids[:-gap], ids[gap:]), (ids[gap:], ids[:-gap])):
                     if len(a):
                         order = np.argsort(a, kind="stable")
                         starts = np.flatnonzero(np.diff(a[order], prepend=-1))
                         vectors[a[order][starts]] += np.add.reduceat(base[b[order]], starts, axis=0)
-        self.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+        vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
         # A word vector keeps its own index vector beside its contexts, or marks that stand among all words would look like them.
-        self.vectors = np.concatenate([self.vectors, base / np.sqrt(NONZERO)], axis=1)
-
-    def rows(self, tokens: list[str]) -> np.ndarray:
-        """For each token the sum of its parts' vectors, and the number of parts."""
-        out = np.zeros((len(tokens), 2 * DIM + 1), np.float32)
-        for at, token in enumerate(tokens):
-            found = parts(token)
-            ids = [i for p in found if (i := self.index.get(p)) is not None]
-            if ids:
-                out[at, : 2 * DIM] = self.vectors[ids].sum(0)
-            out[at, -1] = len(found)
+        self.vectors = np.concatenate([vectors, base / np.sqrt(NONZERO)], axis=1)
+        self.forms = None
+
+    def _expand(self) -> None:
+        """Rows for the written forms of each word, with the case's vector added; the first four stand for unknown words."""
+        v, forms, rows = self.vectors, {}, [*self.vectors[:4]]
+        for i, name in enumerate(self.names[4:], 4):
+            if name[0].isalnum():
+                for form in dict.fromkeys((name, name.capitalize(), name.upper())):
+                    forms[form] = len(rows)
+                    rows.append(v[i] + v[case_of(form)])
+            else:
+                forms[name] = len(rows)
+                rows.append(v[i])
+        self.forms, self.rows = forms, np.array(rows, np.float32)
+
+    def pooled(self, bags: list[Counter]) -> np.ndarray:
+        """For each bag of written forms the mean vector of its parts."""
+        if self.forms is None:
+            self._expand()
+        out, get = np.zeros((len(bags), self.rows.shape[1])), self.forms.get
+        for at, bag in enumerate(bags):
+            if bag:
+                ids = [get(p, -1) for p in bag]
+                if -1 in ids:
+                    # An unknown word shows its case only; unknown marks show as the case "other".
+                    ids = [i if i >= 0 else case_of(p) for i, p in zip(ids, bag)]
+                counts = np.fromiter(bag.values(), np.float32, len(bag))
+                out[at] = counts @ self.rows[ids] / counts.sum()
         return out
 
 
@@ -105,7 +140,7 @@ class QualityModel:
         if not len(y) or y.min() == y.max():
             return
         self.words = WordVectors(texts[:INDEX_SAMPLE])
-        x = self.pool(texts, TokenTable(self.words.rows))
+        x = self.pool(texts)
         self.mean, self.spread = x.mean(0), x.std(0) + 1e-6
         x = (x - self.mean) / self.spread
         rng = np.random.default_rng(seed)
@@ -114,12 +149,9 @@ class QualityModel:
         self.net = self._train(x[learn], y[learn], rng)
         self.temperature = self._temperature(self._logit(x[calibrate]), y[calibrate])
 
-    def pool(self, texts: list, known: TokenTable) -> np.ndarray:
-        bags = [Counter(t.split()) if t else Counter() for t in texts]
-        sums = known.pooled(bags)
-        if sums.shape[1] == 1:
-            sums = np.zeros((len(texts), 2 * DIM + 1))
-        return np.concatenate([sums[:, :-1] / np.maximum(sums[:, -1:], 1), np.array([shares(t or "", b) for t, b in zip(texts, bags)]).reshape(len(texts), -1)], axis=1)
+    def pool(self, texts: list) -> np.ndarray:
+        bags = [Counter(PART.findall(t)) if t else Counter() for t in texts]
+        return np.concatenate([self.words.pooled(bags), np.array([shares(t or "", b) for t, b in zip(texts, bags)]).reshape(len(texts), -1)], axis=1)
 
     @staticmethod
     def _train(x: np.ndarray, y: np.ndarray, rng) -> list[np.ndarray]:
@@ -153,9 +185,7 @@ class QualityModel:
     def score(self, texts: list) -> np.ndarray:
         if self.net is None:
             return np.full(len(texts), self.rate)
-        if not hasattr(self, "_known"):
-            self._known = TokenTable(self.words.rows, 60_000)
-        x = (self.pool(texts, self._known) - self.mean) / self.spread
+        x = (self.pool(texts) - self.mean) / self.spread
         return 1 / (1 + np.exp(-np.clip(self._logit(x) / self.temperature, -30, 30)))
 
 
