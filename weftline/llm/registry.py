@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
-from . import langid, mixing, quality, tokencount, topk, toxicity
+from . import decontam, langid, linededup, mixing, quality, tokencount, topk, toxicity
 
 
 def queries() -> dict:
     ops = (
         langid.op1_kneser_ney_langid,
         quality.op2_random_indexing_quality,
+        linededup.op3_template_line_dedup,
         tokencount.op4_trie_token_counts,
         toxicity.op5_segment_toxicity,
         mixing.op6_sainte_lague_mix,
         topk.op7_bit_sliced_topk,
+        decontam.op9_positional_decontamination,
     )
     return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_sainte_lague_mix": mixing.ORACLE_SQL.format(docs="documents"), "op7_bit_sliced_topk": topk.ORACLE_SQL}
+    return {
+        "op3_template_line_dedup": linededup.ORACLE_SQL.format(docs="documents"),
+        "op6_sainte_lague_mix": mixing.ORACLE_SQL.format(docs="documents"),
+        "op7_bit_sliced_topk": topk.ORACLE_SQL,
+        "op9_positional_decontamination": decontam.ORACLE_SQL.format(docs="documents"),
+    }
