@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, langid, linededup, mixing, quality, tokencount, topk, toxicity
+from . import decontam, langid, linededup, mixing, neardup, quality, tokencount, topk, toxicity
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         toxicity.op5_segment_toxicity,
         mixing.op6_sainte_lague_mix,
         topk.op7_bit_sliced_topk,
+        neardup.op8_setsketch_near_dup,
         decontam.op9_positional_decontamination,
     )
     return {f.__name__: f for f in ops}
