@@ -45,6 +45,7 @@ BAND_ROWS = 6
 BANDS = REGISTERS // BAND_ROWS
 CENTRES = 2
 BLOCK = 512
+CELL_ROWS = 2048
 SET_BYTES = 6
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
@@ -228,29 +229,45 @@ def _confirmed(percent: int):
     return run
 
 
+def _block_pairs(x: np.ndarray, n: np.ndarray, comp: np.ndarray, band: int, left: np.ndarray, right: np.ndarray, percent: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (of left and right positions) across components that are of like size, agree in enough registers, and have this band as their first common one."""
+    rows, cols = [], []
+    same_block = left is right
+    for at, i in enumerate(left):
+        others = right[at + 1 :] if same_block else right
+        others = others[(comp[others] != comp[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
+        if len(others):
+            equal = x[others] == x[i]
+            close = equal.sum(1) >= least * REGISTERS  # registers agree at least as often as elements do
+            others, equal = others[close], equal[close]
+            first = equal[:, : BANDS * BAND_ROWS].reshape(len(others), BANDS, BAND_ROWS).all(2).argmax(1) if len(others) else np.zeros(0, int)
+            others = others[first == band]
+            rows.append(np.full(len(others), i))
+            cols.append(others)
+    return (np.concatenate(rows), np.concatenate(cols)) if rows else (np.zeros(0, int), np.zeros(0, int))
+
+
 def _across(percent: int, least: float):
-    """Links between components inside a pair of blocks of a bucket."""
+    """Links between components inside pairs of blocks of buckets; a group of rows holds many whole pairs of blocks."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("node", ignore_index=True)
+        pdf = pdf.sort_values(["bucket", "low", "high"], ignore_index=True)
         x = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(-1, REGISTERS)
-        n, comp, band, block = pdf["n"].to_numpy(float), pdf["component"].to_numpy(), int(pdf["band"].iloc[0]), pdf["block"].to_numpy()
-        lo, hi = int(pdf["low"].iloc[0]), int(pdf["high"].iloc[0])
-        left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-        found: list[tuple[float, int, int]] = []
-        for i in left:
-            others = right[right > i] if lo == hi else right
-            others = others[(comp[others] != comp[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
-            if len(others):
-                y = x[others]
-                close = (x[i] == y).mean(1) >= least  # registers agree at least as often as elements do
-                others, y = others[close], y[close]
-                j = likely_similarity((x[i] > y).sum(1), (x[i] < y).sum(1), np.full(len(others), n[i]), n[others])
-                others, j = others[j >= least], j[j >= least]
-                # The pair belongs to the first band in which its registers agree.
-                same = (x[others][:, : BANDS * BAND_ROWS] == x[i][: BANDS * BAND_ROWS]).reshape(len(others), BANDS, BAND_ROWS).all(2)
-                mine = same.argmax(1) == band
-                found += zip(j[mine].tolist(), [int(i)] * int(mine.sum()), others[mine].tolist())
+        n, comp, node = pdf["n"].to_numpy(), pdf["component"].to_numpy(), pdf["node"].to_numpy()
+        band, block, low, high = (pdf[c].to_numpy() for c in ("band", "block", "low", "high"))
+        key = pdf[["bucket", "low", "high"]].to_numpy()
+        edges = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(pdf)]
+        rows, cols = [], []
+        for start, end in zip(edges, edges[1:]):
+            at = np.arange(start, end)
+            left = at[block[start:end] == low[start]]
+            right = left if low[start] == high[start] else at[block[start:end] == high[start]]
+            i, k = _block_pairs(x, n, comp, int(band[start]), left, right, percent, least)
+            rows.append(i)
+            cols.append(k)
+        i, k = np.concatenate(rows), np.concatenate(cols)
+        j = np.concatenate([likely_similarity((x[p] > x[q]).sum(1), (x[p] < x[q]).sum(1), n[p], n[q]) for p, q in ((i[c : c + 8192], k[c : c + 8192]) for c in range(0, max(len(i), 1), 8192))])
+        keep = np.flatnonzero(j >= least)
         root = {c: c for c in comp.tolist()}
 
         def top(c):
@@ -259,16 +276,16 @@ def _across(percent: int, least: float):
             return c
 
         sets: dict[int, np.ndarray] = {}
-        out = []
-        for _, i, k in sorted(found, reverse=True):
-            a, b = top(int(comp[i])), top(int(comp[k]))
+        shingles, out = pdf["shingles"].to_numpy(), []
+        for p in keep[np.argsort(-j[keep], kind="stable")].tolist():
+            a, b = top(int(comp[i[p]])), top(int(comp[k[p]]))
             if a != b:
-                for p in (i, k):
-                    if p not in sets:
-                        sets[p] = unpacked(pdf["shingles"][p])
-                if linked(sets[i], sets[k], percent):
+                for q in (int(i[p]), int(k[p])):
+                    if int(node[q]) not in sets:
+                        sets[int(node[q])] = unpacked(shingles[q])
+                if linked(sets[int(node[i[p]])], sets[int(node[k[p]])], percent):
                     root[a] = b
-                    out.append((int(pdf["node"][i]), int(pdf["node"][k])))
+                    out.append((int(node[i[p]]), int(node[k[p]])))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return run
@@ -303,8 +320,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     part = named.join(blocks, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     part = part.withColumn("other", other).select("bucket", "band", "node", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    # A task's group holds whole pairs of blocks, about CELL_ROWS rows together.
+    part = materialize(part)
+    cells = part.count() // CELL_ROWS + 1
+    part = part.withColumn("cell", F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(cells)))
     part = part.join(nodes.select("node", "n", "sketch"), "node").join(sets, "node")
-    more = materialize(part.groupBy("bucket", "low", "high").applyInPandas(_across(percent, least), "a long, b long"))
+    more = materialize(part.groupBy("cell").applyInPandas(_across(percent, least), "a long, b long"))
     found = components(links.union(more))
 
     rep = nodes.select(F.col("node").alias("x"), "rep").join(found, F.col("x") == F.col("node"), "left").select("x", "rep", F.col("component").alias("c"))
