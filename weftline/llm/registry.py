@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, langid, linededup, mixing, neardup, quality, tokencount, topk, toxicity
+from . import decontam, langid, linededup, mixing, neardup, quality, suffix, tokencount, topk, toxicity
 
 
 def queries() -> dict:
@@ -16,6 +16,7 @@ def queries() -> dict:
         topk.op7_bit_sliced_topk,
         neardup.op8_setsketch_near_dup,
         decontam.op9_positional_decontamination,
+        suffix.op10_suffix_dedup,
     )
     return {f.__name__: f for f in ops}
 
