@@ -26,16 +26,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared checkpoint folder.
-
-    The folder is the session's ``spark.checkpoint.dir``; only where that is
-    unset (tests, single machine) a temporary one is chosen.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; where that is unset (tests, a single machine), a temporary folder."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="weftline-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage through the shared checkpoint folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
