@@ -114,9 +114,9 @@ def op9_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: without the documents that hold a benchmark window."""
     windows = materialize(item_windows(table(spark, sf_dir, "benchmark"), WINDOW))
-    keyed = docs.withColumn("_h", F.xxhash64("text"))
+    keyed = docs.select(F.struct("*").alias("_row"), "doc_id", "text", F.xxhash64("text").alias("_h"))
     hit = occurrences(keyed.select("doc_id", "text", "_h"), windows).select(F.col("doc_id").alias("_d"), F.col("_h").alias("_x")).distinct()
-    return keyed.join(hit, keyed["doc_id"].eqNullSafe(F.col("_d")) & (keyed["_h"] == F.col("_x")), "left_anti").select(*docs.columns)
+    return keyed.join(hit, keyed["doc_id"].eqNullSafe(F.col("_d")) & (keyed["_h"] == F.col("_x")), "left_anti").select("_row.*")
 
 
 ORACLE_SQL = f"""

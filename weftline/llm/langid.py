@@ -232,5 +232,5 @@ def op1_kneser_ney_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: without the documents that language identification rejects."""
-    columns = docs.columns
-    return identify(docs, train(docs), columns).filter(~F.col("rejected")).select(*columns)
+    whole = docs.select(F.struct("*").alias("_row"), "text")
+    return identify(whole, train(docs), ["_row"]).filter(~F.col("rejected")).select("_row.*")
