@@ -5,8 +5,10 @@ a smaller doc_id is removed.  Equal strings choose the same anchor, the k-gram o
 least hash among those inside them, so the strings of a document are runs around
 anchors.  Three steps, each dealt by hash over as many parts as the bytes ask for:
 
-1. Anchors: each document sends its anchors' hashes; those that two documents have
-   go back to the documents' parts.
+Exact copies of a document with a smaller doc_id are removed whole and take no part.
+
+1. Anchors: each document sends its anchors' hashes; those that two different texts
+   have go back to the documents' parts.
 2. Suffix sort: each document sends the bytes around its shared anchors (equal ones
    of a part once).  Per anchor, the suffixes that begin at it, and the reversed
    prefixes that end there, are merge-sorted; two suffixes are compared by the
@@ -40,7 +42,7 @@ from .rolling import Prefix, mixed
 WIDTH = 50
 GRAM = 20
 REACH = WIDTH - GRAM
-PART_BYTES = 8_000_000
+PART_BYTES = 4_000_000
 LEAST_PARTS = 24
 #: A longer document is searched for anchors in overlapping pieces of so many bytes.
 PIECE = 1 << 22
@@ -102,46 +104,50 @@ def _slot(gram: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return (gram % np.uint64(buckets)).astype(np.int64), (gram >> np.uint64(32)).astype(np.uint32)
 
 
-def _send(buckets: int):
-    """Per bucket, the anchors of a chunk of documents, as (hash, document) pairs."""
+def _send(buckets: int, parts: int):
+    """Per bucket, the anchors of a chunk of documents, as (hash, text, part) entries."""
+    wide = np.uint16 if parts <= 1 << 16 else np.uint32
 
     def run(batches):
         for chunk in text_chunks(batches):
             texts = [t or b"" for t in chunk.column("text").cast(pa.binary()).to_pylist()]
-            code = chunk.column("code").to_numpy().astype(np.uint32)
+            code, part = (chunk.column(c).to_numpy().astype(np.uint32) for c in ("code", "part"))
             pairs = []
             for index, _, data, lengths in pieces(texts):
                 owner, _, gram, _, _ = anchors(data, lengths)
-                pairs.append(np.stack([gram, code[index[owner]].astype(np.uint64)]))
-            gram, doc = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.uint64)
+                pairs.append(np.stack([gram, index[owner].astype(np.uint64)]))
+            gram, row = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.uint64)
             bucket, name = _slot(gram, buckets)
-            # A document has an anchor once, so that two entries are two documents.
-            order = np.lexsort((doc, name, bucket))
-            bucket, name, doc = bucket[order], name[order], doc[order].astype(np.uint32)
+            doc, part = code[row.astype(np.int64)], part[row.astype(np.int64)]
+            # A text of a part sends an anchor once.
+            order = np.lexsort((part, doc, name, bucket))
+            bucket, name, doc, part = bucket[order], name[order], doc[order], part[order]
             fresh = np.ones(len(order), bool)
-            fresh[1:] = (bucket[1:] != bucket[:-1]) | (name[1:] != name[:-1]) | (doc[1:] != doc[:-1])
-            bucket, name, doc = bucket[fresh], name[fresh], doc[fresh]
+            fresh[1:] = (bucket[1:] != bucket[:-1]) | (name[1:] != name[:-1]) | (doc[1:] != doc[:-1]) | (part[1:] != part[:-1])
+            bucket, name, doc, part = bucket[fresh], name[fresh], doc[fresh], part[fresh].astype(wide)
             edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else []
             rows = list(zip(edge[:-1], edge[1:])) if len(bucket) else []
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(bucket[a]) for a, _ in rows], pa.int64()), pa.array([name[a:b].tobytes() for a, b in rows], pa.binary()), pa.array([doc[a:b].tobytes() for a, b in rows], pa.binary())],
-                names=["bucket", "names", "codes"],
+                [pa.array([int(bucket[a]) for a, _ in rows], pa.int64()), *(pa.array([v[a:b].tobytes() for a, b in rows], pa.binary()) for v in (name, doc, part))],
+                names=["bucket", "names", "codes", "parts"],
             )
 
     return run
 
 
 def _shared(parts: int):
-    """The anchors of a bucket that more than one entry has, back to the documents' parts."""
+    """The anchors of a bucket that more than one text has, back to the documents' parts."""
+    wide = np.uint16 if parts <= 1 << 16 else np.uint32
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         name, code = (np.frombuffer(b"".join(pdf[c]), np.uint32) for c in ("names", "codes"))
+        part = np.frombuffer(b"".join(pdf["parts"]), wide)
         order = np.argsort(name, kind="stable")
-        name, code = name[order], code[order]
-        same = name[1:] == name[:-1]
-        keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        name, code = name[keep], code[keep]
-        part = code % np.uint32(parts)
+        name, code, part = name[order], code[order], part[order]
+        first = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]])) if len(name) else np.zeros(0, int)
+        several = np.minimum.reduceat(code, first) != np.maximum.reduceat(code, first) if len(name) else np.zeros(0, bool)
+        keep = np.repeat(several, np.diff(np.append(first, len(name))))
+        name, code, part = name[keep], code[keep], part[keep]
         order = np.argsort(part, kind="stable")
         name, code, part = name[order], code[order], part[order]
         edge = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else [0]
@@ -151,9 +157,15 @@ def _shared(parts: int):
     return run
 
 
-def _ordered(docs: pa.Table | pd.DataFrame) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """A part's ids, codes and texts in an order that only depends on its rows."""
-    docs = docs.assign(id=docs["id"].fillna(NO_ID).astype("int64"), text=[t or b"" for t in docs["text"]]).sort_values(["id", "text"], ignore_index=True)
+def _copies(extra: pd.DataFrame) -> np.ndarray:
+    """Ids of the part's exact copies, which come in rows of their own."""
+    return np.concatenate([np.asarray(x, np.int64) for x in extra["copies"] if x is not None] or [np.zeros(0, np.int64)])
+
+
+def _ordered(docs: pd.DataFrame, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Ids, codes and texts of a part without its copies, in an order that only depends on its rows."""
+    docs = docs[~docs["id"].isin(copies)]
+    docs = docs.assign(text=[t or b"" for t in docs["text"]]).sort_values(["id", "text"], ignore_index=True)
     return docs["id"].to_numpy(), docs["code"].to_numpy().astype(np.uint32), docs["text"].tolist()
 
 
@@ -162,9 +174,11 @@ def _contexts(buckets: int):
 
     def run(docs: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
         out = []
+        copies = _copies(shared)
+        shared = shared[shared["names"].notna()]
         if len(docs) and len(shared):
             part = int(docs["part"].iloc[0])
-            ids, code, texts = _ordered(docs)
+            ids, code, texts = _ordered(docs, copies)
             wanted = np.unique(np.concatenate([_wanted(np.full(len(n) // 4, b, np.uint64), np.frombuffer(n, np.uint32), np.frombuffer(c, np.uint32)) for b, n, c in zip(shared["bucket"], shared["names"], shared["codes"])]))
             for index, offset, data, lengths in pieces(texts):
                 owner, at, gram, first, last = anchors(data, lengths)
@@ -362,7 +376,9 @@ def _marks(pdf: pd.DataFrame) -> pd.DataFrame:
 def _removed(docs: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
     if not len(docs):
         return pd.DataFrame({"doc_id": pd.Series(dtype="Int64"), "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []})
-    ids, _, texts = _ordered(docs)
+    copies = _copies(marks)
+    marks = marks[marks["rows"].notna()]
+    ids, _, texts = _ordered(docs, copies)
     row, place, mask = (np.frombuffer(b"".join(marks[c]), np.uint32).astype(np.int64) for c in ("rows", "places", "masks"))
     order = np.argsort(row, kind="stable")
     row, place, mask = row[order], place[order], mask[order]
@@ -380,6 +396,8 @@ def _removed(docs: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
             removed, spans = int(gone.sum()), int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
             kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
         out.append((None if ids[at] == NO_ID else int(ids[at]), len(text), removed, spans, hashlib.sha256(kept).hexdigest()))
+    gone = docs[docs["id"].isin(copies)]
+    out += [(None if i == NO_ID else int(i), len(t), len(t), 1, hashlib.sha256(b"").hexdigest()) for i, t in zip(gone["id"], gone["text"])]
     out = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
     return out.assign(doc_id=out["doc_id"].astype("Int64"))
 
@@ -388,14 +406,23 @@ def remove_repeats(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """(doc_id, text) -> (doc_id, n_bytes, n_removed, n_spans, kept_sha256)."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(LEAST_PARTS, size // part_bytes + 1)
-    code = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32))
-    held = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"), code.alias("code"), (code % parts).alias("part"))
-    sent = held.select("text", "code").mapInArrow(_send(parts), "bucket long, names binary, codes binary")
+    buckets = 2 * parts
+    code = F.pmod(F.xxhash64("text"), F.lit(1 << 32))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(parts))
+    held = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("binary").alias("text"), code.alias("code"), part.alias("part"))
+    keyed = held.filter(F.octet_length("text") >= WIDTH).select("id", "part", F.sha2("text", 256).alias("sum"))
+    first = keyed.groupBy("sum").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("sum", "least")
+    copies = keyed.join(first, "sum").filter("id > least").groupBy("part").agg(F.collect_list("id").alias("copies"))
+
+    def with_copies(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("copies", F.lit(None).cast("array<bigint>")).unionByName(copies, allowMissingColumns=True)
+
+    sent = held.select("text", "code", "part").mapInArrow(_send(buckets, parts), "bucket long, names binary, codes binary, parts binary")
     shared = sent.groupBy("bucket").applyInPandas(_shared(parts), "part long, bucket long, names binary, codes binary")
     context = "part long, bucket long, bytes binary, runs binary, lefts binary, grams binary, items binary, rows binary, places binary, ids binary"
-    around = held.groupBy("part").cogroup(shared.groupBy("part")).applyInPandas(_contexts(parts), context)
+    around = held.groupBy("part").cogroup(with_copies(shared).groupBy("part")).applyInPandas(_contexts(buckets), context)
     marks = around.groupBy("bucket").applyInPandas(_marks, "part long, rows binary, places binary, masks binary")
-    return held.groupBy("part").cogroup(marks.groupBy("part")).applyInPandas(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return held.groupBy("part").cogroup(with_copies(marks).groupBy("part")).applyInPandas(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
