@@ -225,11 +225,7 @@ def explanatory_step(text: Column, index: Column, total: Column) -> Column:
     goal, work = lower_first(F.trim(F.regexp_extract(content, C.CALCULATE_PREFIX, 1))), F.trim(F.regexp_extract(content, C.CALCULATE_PREFIX, 2))
     last = (total > 1) & (index == total)
     connector = F.when(last, "Finally").otherwise(F.coalesce(F.try_element_at(strings(C.CONNECTORS), index), F.lit("Then")))
-    first = F.concat(connector, F.lit(", use the given information to find "), goal, F.lit("; this gives the first quantity needed for the rest of the solution: "), work)
-    end = F.concat(connector, F.lit(", combine the relevant given information or earlier quantities to find "), goal, F.lit("; this answers the question directly: "), work)
-    middle = F.concat(
-        connector, F.lit(", use the relevant given information or any needed earlier quantity to find "), goal, F.lit("; this intermediate value is needed for the next part of the solution: "), work
-    )
+    first, end, middle = (F.format_string(form, connector, goal, work) for form in (C.EXPLAIN_FIRST, C.EXPLAIN_LAST, C.EXPLAIN_MIDDLE))
     return F.when(~content.rlike(C.CALCULATE_PREFIX), content).when(index == 1, first).when(last, end).otherwise(middle)
 
 
@@ -241,6 +237,6 @@ def training_steps(steps: Column) -> Column:
 
 
 def solution_text(steps: Column, solution: Column, answer: Column) -> Column:
-    final = F.concat(F.lit(r"The answer is $\boxed{"), answer, F.lit("}$."))
+    final = F.format_string(C.CLOSING, answer)
     body = F.rtrim(F.when(F.size(steps) > 0, F.array_join(training_steps(steps), "\n")).otherwise(ws(solution)))
     return F.when(body == "", final).when(F.endswith(body, final), body).otherwise(F.concat(body, F.lit("\n"), final))

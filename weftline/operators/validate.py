@@ -150,10 +150,10 @@ def alignment_error(question: Column, steps: Column, answer: Column, plan_tokens
     """'' if a generated item shows its plan and has a fitting number of steps, else what is wrong."""
     n = F.size(steps)
     return (
-        F.when((F.coalesce(question, F.lit("")) == "") | (n == 0) | (T.normalize_answer(answer) == ""), "missing generated question, steps, or numeric answer")
-        .when((F.size(plan_tokens) > 0) & ~F.arrays_overlap(T.keyword_set(question), plan_tokens), "question does not reflect the assigned plan scene or inspiration keywords")
-        .when((label == "Hard") & (n < 2), "hard target produced too few reasoning steps")
-        .when((label == "Easy") & (n > 5), "easy target produced too many reasoning steps")
+        F.when((F.coalesce(question, F.lit("")) == "") | (n == 0) | (T.normalize_answer(answer) == ""), C.NOT_GENERATED)
+        .when((F.size(plan_tokens) > 0) & ~F.arrays_overlap(T.keyword_set(question), plan_tokens), C.NOT_ALIGNED)
+        .when((label == "Hard") & (n < 2), C.TOO_FEW_STEPS)
+        .when((label == "Easy") & (n > 5), C.TOO_MANY_STEPS)
         .otherwise("")
     )
 
@@ -168,10 +168,10 @@ def step_quality_issue(steps: Column) -> Column:
     connective = F.size(F.filter(s, lambda x: T.strip_label(x).rlike(C.CONNECTIVE)))
     packed = F.exists(s, lambda x: F.regexp_count(x, F.lit(";")) >= 2)
     return (
-        F.when(n == 0, "missing steps")
-        .when(unlabelled > 0, F.concat(F.lit("step "), unlabelled.cast("string"), F.lit(" missing expected Step "), unlabelled.cast("string"), F.lit(": label")))
-        .when(mechanical / n >= 0.5, "too many steps still start mechanically")
-        .when((n >= 2) & (connective / n < 0.5), "too few steps explain dependencies or reasoning purpose")
-        .when(packed, "some steps still pack multiple calculations with semicolons")
+        F.when(n == 0, C.STEPS_MISSING)
+        .when(unlabelled > 0, F.format_string(C.STEP_UNLABELLED, unlabelled.cast("string"), unlabelled.cast("string")))
+        .when(mechanical / n >= 0.5, C.STEPS_MECHANICAL)
+        .when((n >= 2) & (connective / n < 0.5), C.STEPS_UNCONNECTED)
+        .when(packed, C.STEPS_PACKED)
         .otherwise("")
     )

@@ -25,12 +25,12 @@ class Backend(Protocol):
 
 
 class StubBackend:
-    """Deterministic stand-in for a model: answers the product of the prompt's first two numbers, now and then in broken form."""
+    """Deterministic stand-in for a model: answers the product of the first two numbers below the prompt's first line, now and then in broken form."""
 
     def complete(self, prompts: list[str], temperature: float) -> list[str]:
         out = []
         for p in prompts:
-            a, b = ([int(x) for x in re.findall(r"\d+", p)] + [1, 1])[:2]
+            a, b = ([int(x) for x in re.findall(r"\d+", p.split("\n", 1)[-1])] + [1, 1])[:2]
             text = '{"question": "%s", "steps": ["Step 1: Given the numbers, %d * %d = %d."], "answer": "%d", "solvable": true, "unique_answer": true, "confidence": 0.9}' % (jsonx.ws(p.split("\n")[-1]).replace('"', "'"), a, b, a * b, a * b)
             out.append(text if "attempt 0" not in p or (a + b) % 3 else "no json here")
         return out
