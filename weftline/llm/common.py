@@ -40,6 +40,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def partitions_for(rows: int, each: int = 50_000) -> int:
+    """Partitions for a table of narrow rows, so that a small one does not write a file per shuffle partition."""
+    return rows // each + 1
+
+
+def compact(df: DataFrame) -> DataFrame:
+    """``materialize``, then as many partitions as the rows ask for (never more than there were)."""
+    kept = materialize(df)
+    return kept.coalesce(partitions_for(kept.count()))
+
+
 def bucket_of(key: Column, modulus: int) -> Column:
     """crc32 of the key's text modulo ``modulus`` (null for a null key)."""
     return F.crc32(key.cast("string").cast("binary")) % modulus

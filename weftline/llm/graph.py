@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, partitions_for
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,6 +13,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Every step is a grouped minimum and a join; each round is materialised in the
     shared checkpoint folder, and only its row count and checksum reach the driver.
+    A round has as many partitions as its rows ask for.
     """
 
     def seen(e: DataFrame) -> tuple:
@@ -21,12 +22,14 @@ def components(edges: DataFrame) -> DataFrame:
     e = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = seen(e)
     while state[0]:
-        both = e.union(e.select("b", "a"))
+        n = partitions_for(2 * state[0])
+        e = e.coalesce(n)
+        both = e.union(e.select("b", "a")).coalesce(n)
         low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("x"), F.least("a", "m").alias("m"))
-        large = both.join(low, F.col("a") == F.col("x")).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(low, F.col("a") == F.col("x")).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).coalesce(n)
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low.withColumnRenamed("a", "x"), F.col("a") == F.col("x")).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        e = materialize(small.union(low.select("a", F.col("m").alias("b"))).distinct())
+        e = materialize(small.union(low.select("a", F.col("m").alias("b"))).coalesce(n).distinct().coalesce(n))
         if (now := seen(e)) == state:
             break
         state = now

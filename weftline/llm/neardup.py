@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, table, text_chunks
+from .common import compact, materialize, table, text_chunks
 from .graph import components
 from .rolling import Prefix, mixed
 
@@ -302,16 +302,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # A bucket's centre is the node that is smallest after an exclusive-or with the bucket's hash: random, and another one in each bucket.
     turned = F.col("node").bitwiseXOR(F.col("bucket"))
     buckets = banded.groupBy("bucket").agg(F.min(turned).alias("lo"), F.max(turned).alias("hi")).filter("lo <> hi").select("bucket", F.col("lo").bitwiseXOR(F.col("bucket")).alias("centre"))
-    members = materialize(banded.join(buckets, "bucket"))
+    members = compact(banded.join(buckets, "bucket"))
     shared = members.filter("node <> centre").groupBy("node", "centre").agg(F.count(F.lit(1)).alias("times"))
     best = F.row_number().over(Window.partitionBy("node").orderBy(F.col("times").desc(), "centre"))
     pairs = shared.withColumn("r", best).filter(F.col("r") <= CENTRES).select(F.col("node").alias("a"), F.col("centre").alias("b"))
     sketch = lambda s: nodes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
-    likely = materialize(pairs.join(sketch("a"), "a").join(sketch("b"), "b").mapInArrow(_estimated(least), "a long, b long"))
+    likely = compact(pairs.join(sketch("a"), "a").join(sketch("b"), "b").mapInArrow(_estimated(least), "a long, b long"))
     asked = nodes.join(members.select("node").distinct(), "node").select("node", "rep")
     sets = materialize(full_sets(docs.join(asked, docs["doc_id"].eqNullSafe(asked["rep"]))).dropDuplicates(["node"]))
     full = lambda s: sets.select(F.col("node").alias(s), F.col("shingles").alias(f"set_{s}"))
-    links = materialize(likely.join(full("a"), "a").join(full("b"), "b").mapInArrow(_confirmed(percent), "a long, b long"))
+    links = compact(likely.join(full("a"), "a").join(full("b"), "b").mapInArrow(_confirmed(percent), "a long, b long"))
     found = components(links)
 
     named = members.select("bucket", "band", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -321,11 +321,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     part = part.withColumn("other", other).select("bucket", "band", "node", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     # A task's group holds whole pairs of blocks, about CELL_ROWS rows together.
-    part = materialize(part)
+    part = compact(part)
     cells = part.count() // CELL_ROWS + 1
     part = part.withColumn("cell", F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(cells)))
     part = part.join(nodes.select("node", "n", "sketch"), "node").join(sets, "node")
-    more = materialize(part.groupBy("cell").applyInPandas(_across(percent, least), "a long, b long"))
+    more = compact(part.groupBy("cell").applyInPandas(_across(percent, least), "a long, b long"))
     found = components(links.union(more))
 
     rep = nodes.select(F.col("node").alias("x"), "rep").join(found, F.col("x") == F.col("node"), "left").select("x", "rep", F.col("component").alias("c"))
