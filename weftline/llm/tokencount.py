@@ -21,6 +21,7 @@ from __future__ import annotations
 import math
 import os
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 CUT = 512
 UNKNOWN = -40.0
+#: Pre-tokens whose counts a worker keeps.
+CAPACITY = 1_000_000
 
 
 def vocabulary(path: str) -> dict[str, float]:
@@ -49,6 +52,7 @@ class TrieCounter:
 
     def __init__(self, pieces: dict[str, float]):
         self.pieces, self.longest = pieces, max(map(len, pieces), default=1)
+        self.tails = {p[i:] for p in pieces for i in range(len(p))}
 
     def counts(self, words: list[str]) -> np.ndarray:
         """Tokens of each pre-token (given without the word mark)."""
@@ -63,7 +67,7 @@ class TrieCounter:
         for at, node in ends:
             terminal.setdefault(id(node), []).append(at)
         out = np.zeros(len(words), np.int64)
-        pieces, longest = self.pieces, self.longest
+        pieces, longest, tails = self.pieces, self.longest, self.tails
         # A path in hand: the prefix, and for each of its lengths (-score, tokens).
         stack = [(root, "", 0)]
         best: list[tuple[float, int]] = [(0.0, 0)]
@@ -80,6 +84,8 @@ class TrieCounter:
                 tail = ch
                 for start in range(depth - 2, max(-1, depth - longest - 1), -1):
                     tail = path[start] + tail
+                    if tail not in tails:
+                        break  # nor is anything longer the end of a piece
                     score = pieces.get(tail)
                     if score is not None:
                         cost, n = best[start]
@@ -94,6 +100,13 @@ class TrieCounter:
         return out
 
 
+@lru_cache(maxsize=1)
+def worker_table(path: str) -> TokenTable:
+    """The pre-tokens counted so far by this worker process; its tasks share it."""
+    counter = TrieCounter(vocabulary(path))
+    return TokenTable(lambda words: counter.counts(words)[:, None].astype(np.float64), CAPACITY)
+
+
 def pretokens(text: str) -> list[str]:
     words = text.split()
     if any(len(w) > CUT for w in words):
@@ -106,8 +119,7 @@ def count_tokens(docs: DataFrame, model_path: str | None = None) -> DataFrame:
     path = model_path or os.path.join(TOKENIZERS, MODEL)
 
     def run(batches):
-        counter = TrieCounter(vocabulary(path))
-        known = TokenTable(lambda words: counter.counts(words)[:, None].astype(np.float64))
+        known = worker_table(path)
         for chunk in text_chunks(batches):
             bags = [Counter(pretokens(t)) if t else Counter() for t in chunk.column("text").to_pylist()]
             sums = known.pooled(bags)[:, 0]
