@@ -35,9 +35,12 @@ FIELD = "<*>"
 def _lines(docs: DataFrame, min_tokens: int, lead: int) -> DataFrame:
     """One row per line of enough tokens: its masked form, leaf and place."""
     line = docs.select("doc_id", "_h", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", r"[^\s]*[0-9][^\s]*", FIELD)).otherwise(F.col("line"))
-    line = line.select("doc_id", "_h", "pos", F.trim(F.regexp_replace(masked, r"\s+", " ")).alias("line"))
-    line = line.withColumn("n", F.regexp_count("line", F.lit(r"[^ ]+"))).filter(F.col("n") >= min_tokens)
+    # One search tells whether a line is in normal form already, as nearly all lines are.
+    masked = F.regexp_replace(F.regexp_replace("line", r"[^\s]*[0-9][^\s]*", FIELD), r"\s+", " ")
+    normal = F.when(F.col("line").rlike(r"[0-9]|\s\s|[\t\x0B\f\r]"), masked).otherwise(F.col("line"))
+    line = line.select("doc_id", "_h", "pos", F.trim(normal).alias("line"))
+    blanks = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit("")))
+    line = line.withColumn("n", F.when(F.col("line") == "", 0).otherwise(blanks + 1)).filter(F.col("n") >= min_tokens)
     start = F.substring_index("line", " ", lead)
     return line.select("doc_id", "_h", "pos", "line", F.xxhash64("n", start).alias("leaf"), F.xxhash64("line").alias("form"))
 
@@ -63,26 +66,26 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_T
 
 
 def _rewritten(docs: DataFrame, **options) -> DataFrame:
-    """Adds _n, _d (lines, dropped lines) and _kept (the text left) to the documents."""
-    keyed = docs.withColumn("_h", F.xxhash64("text"))
+    """_row (the document), _n and _d (its lines and dropped lines) and _kept (the text left)."""
+    keyed = docs.select(F.struct("*").alias("_row"), "doc_id", "text", F.xxhash64("text").alias("_h"))
     drop = recurring(keyed.select("doc_id", "text", "_h"), **options).groupBy(F.col("doc_id").alias("_id"), F.col("_h").alias("_x")).agg(F.collect_set("pos").alias("_pos"))
     joined = keyed.join(drop, keyed["doc_id"].eqNullSafe(F.col("_id")) & (keyed["_h"] == F.col("_x")), "left")
     lines = F.split("text", "\n")
     kept = F.when(F.col("_pos").isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("_pos", i)), "\n"))
     n = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines))
-    return joined.select(*docs.columns, n.cast("long").alias("_n"), F.when(F.col("_pos").isNull(), F.lit(0)).otherwise(F.size("_pos")).cast("long").alias("_d"), kept.alias("_kept"))
+    return joined.select("_row", n.cast("long").alias("_n"), F.when(F.col("_pos").isNull(), F.lit(0)).otherwise(F.size("_pos")).cast("long").alias("_d"), kept.alias("_kept"))
 
 
 def drop_templates(docs: DataFrame, **options) -> DataFrame:
     """The documents with the text that is left of them; n_chars follows where there is such a column."""
     out = _rewritten(docs, **options)
     own = {"text": F.col("_kept"), "n_chars": F.char_length("_kept").cast("long")}
-    return out.select(*(own[c].alias(c) if c in own else F.col(c) for c in docs.columns))
+    return out.select(*(own[c].alias(c) if c in own else F.col("_row")[c].alias(c) for c in docs.columns))
 
 
 def op3_template_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _rewritten(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", F.col("_n").alias("n_lines"), F.col("_d").alias("n_dropped"), F.sha2(F.coalesce("_kept", F.lit("")), 256).alias("kept_sha256"))
+    return out.select("_row.doc_id", F.col("_n").alias("n_lines"), F.col("_d").alias("n_dropped"), F.sha2(F.coalesce("_kept", F.lit("")), 256).alias("kept_sha256"))
 
 
 def stage_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
