@@ -167,6 +167,17 @@ def test_suffix_dedup(spark, docs):
     assert suffix.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_suffix_dedup_names_copies_by_row(spark):
+    rng = random.Random(11)
+    a, b, c, d = (prose(rng, 40) for _ in range(4))
+    listed = [(1, a), (None, a), (None, b), (None, None), (None, "short"), (7, a), (7, c), (7, None), (-3, d), (9, d), (9, d + b)]
+    got = sorted(((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in suffix.remove_repeats(spark.createDataFrame(listed, "doc_id long, text string")).collect()), key=repr)
+    # b stands in document 9, too, so the null-id row of it goes by the strings, as a whole.
+    gone = {(None, a), (None, b), (7, a), (9, d)}
+    want = [(i, len(t or ""), len(d) if (i, t) == (9, d + b) else len(t) if (i, t) in gone else 0) for i, t in listed]
+    assert got == sorted(want, key=repr)
+
+
 def test_suffix_order():
     rng = np.random.default_rng(2)
     data = rng.integers(97, 99, 400).astype(np.uint8)

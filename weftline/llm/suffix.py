@@ -157,14 +157,17 @@ def _shared(parts: int):
     return run
 
 
-def _copies(extra: pd.DataFrame) -> np.ndarray:
-    """Ids of the part's exact copies, which come in rows of their own."""
-    return np.concatenate([np.asarray(x, np.int64) for x in extra["copies"] if x is not None] or [np.zeros(0, np.int64)])
+def _copies(docs: pd.DataFrame, extra: pd.DataFrame) -> np.ndarray:
+    """Which of the part's rows are exact copies; these come in rows of their own, as id and SHA-256 of the text."""
+    named = {bytes(c) for x in extra["copies"] if x is not None for c in x}
+    ids = {c[:8] for c in named}
+    keys = (int(i).to_bytes(8, "big", signed=True) for i in docs["id"])
+    return np.array([k in ids and k + hashlib.sha256(t or b"").digest() in named for k, t in zip(keys, docs["text"])], bool)
 
 
 def _ordered(docs: pd.DataFrame, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Ids, codes and texts of a part without its copies, in an order that only depends on its rows."""
-    docs = docs[~docs["id"].isin(copies)]
+    docs = docs[~copies]
     docs = docs.assign(text=[t or b"" for t in docs["text"]]).sort_values(["id", "text"], ignore_index=True)
     return docs["id"].to_numpy(), docs["code"].to_numpy().astype(np.uint32), docs["text"].tolist()
 
@@ -174,7 +177,7 @@ def _contexts(buckets: int):
 
     def run(docs: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
         out = []
-        copies = _copies(shared)
+        copies = _copies(docs, shared)
         shared = shared[shared["names"].notna()]
         if len(docs) and len(shared):
             part = int(docs["part"].iloc[0])
@@ -376,7 +379,7 @@ def _marks(pdf: pd.DataFrame) -> pd.DataFrame:
 def _removed(docs: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
     if not len(docs):
         return pd.DataFrame({"doc_id": pd.Series(dtype="Int64"), "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []})
-    copies = _copies(marks)
+    copies = _copies(docs, marks)
     marks = marks[marks["rows"].notna()]
     ids, _, texts = _ordered(docs, copies)
     row, place, mask = (np.frombuffer(b"".join(marks[c]), np.uint32).astype(np.int64) for c in ("rows", "places", "masks"))
@@ -396,7 +399,7 @@ def _removed(docs: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
             removed, spans = int(gone.sum()), int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
             kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
         out.append((None if ids[at] == NO_ID else int(ids[at]), len(text), removed, spans, hashlib.sha256(kept).hexdigest()))
-    gone = docs[docs["id"].isin(copies)]
+    gone = docs[copies]
     out += [(None if i == NO_ID else int(i), len(t), len(t), 1, hashlib.sha256(b"").hexdigest()) for i, t in zip(gone["id"], gone["text"])]
     out = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
     return out.assign(doc_id=out["doc_id"].astype("Int64"))
@@ -412,10 +415,12 @@ def remove_repeats(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     held = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("binary").alias("text"), code.alias("code"), part.alias("part"))
     keyed = held.filter(F.octet_length("text") >= WIDTH).select("id", "part", F.sha2("text", 256).alias("sum"))
     first = keyed.groupBy("sum").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("sum", "least")
-    copies = keyed.join(first, "sum").filter("id > least").groupBy("part").agg(F.collect_list("id").alias("copies"))
+    # An id alone does not name a row: null doc_ids share NO_ID, and a doc_id may stand on rows of different texts.
+    named = F.concat(F.unhex(F.lpad(F.hex("id"), 16, "0")), F.unhex("sum"))
+    copies = keyed.join(first, "sum").filter("id > least").groupBy("part").agg(F.collect_set(named).alias("copies"))
 
     def with_copies(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("copies", F.lit(None).cast("array<bigint>")).unionByName(copies, allowMissingColumns=True)
+        return rows.withColumn("copies", F.lit(None).cast("array<binary>")).unionByName(copies, allowMissingColumns=True)
 
     sent = held.select("text", "code", "part").mapInArrow(_send(buckets, parts), "bucket long, names binary, codes binary, parts binary")
     shared = sent.groupBy("bucket").applyInPandas(_shared(parts), "part long, bucket long, names binary, codes binary")
