@@ -109,6 +109,24 @@ def test_line_dedup(spark, docs):
     assert linededup.drop_templates(docs.limit(0)).count() == 0
 
 
+def kept_lines(spark, texts):
+    listed = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r["text"].split("\n") for r in linededup.stage_lines(spark, listed, None).orderBy("doc_id").collect()]
+
+
+def test_stage_drops_long_and_short_recurring_lines(spark):
+    rng = random.Random(3)
+    long, own = prose(rng, 55), [prose(rng, 30) for _ in range(6)]
+    texts = [f"{own[i]}\n{long}" for i in range(2)] + [f"All rights reserved.\n{own[i]}\n}}\nby me" for i in range(2, 6)]
+    # A line under 50 bytes of two texts, and an exact copy, are no repeats.
+    texts += [f"{prose(rng, 30)}\nla la la la li" for _ in range(2)] + [f"{long[::-1]}\nx"] * 2
+    want = [t.split("\n") for t in texts]
+    want[1].remove(long)
+    for i in range(3, 6):
+        want[i] = [own[i], "}"]
+    assert kept_lines(spark, texts) == want
+
+
 def shingles(text):
     w = re.findall(rb"[^\x20\x09-\x0D]+", bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode()))
     return frozenset() if not w else frozenset([tuple(w)]) if len(w) < 5 else frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4))

@@ -10,6 +10,11 @@ share a template.  A template with enough constant tokens that recurs in at leas
 smallest doc_id).  Exact copies of a text count once, so copies alone never make a
 template; they are left to near-duplicate detection.
 
+That is what the operator's SQL text says.  The pipeline's stage drops more (``whole``):
+a line whose masked form has ``LONG_BYTES`` bytes goes from ``LONG_DOCS`` different texts
+on, and lines under ``min_tokens`` tokens are judged as all others, if a token that
+recurs in them has a letter (brackets and rules of code and tables are no repeats).
+
 Only DataFrame functions run here.  Counting is on hashes; texts are shuffled
 once for the lines of candidate leaves and once to rewrite documents.
 
@@ -30,6 +35,8 @@ MIN_TOKENS = 5
 LEAD = 3
 CONSTANT = 0.8
 FIELD = "<*>"
+LONG_BYTES = 50
+LONG_DOCS = 2
 
 
 def _lines(docs: DataFrame, min_tokens: int, lead: int) -> DataFrame:
@@ -45,11 +52,11 @@ def _lines(docs: DataFrame, min_tokens: int, lead: int) -> DataFrame:
     return line.select("doc_id", "_h", "pos", "line", F.xxhash64("n", start).alias("leaf"), F.xxhash64("line").alias("form"))
 
 
-def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, lead: int = LEAD, constant: float = CONSTANT) -> DataFrame:
-    """(doc_id, _h, text) -> (doc_id, _h, pos) of the lines to drop."""
-    lines = _lines(docs, min_tokens, lead)
+def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, lead: int = LEAD, constant: float = CONSTANT, whole: bool = False) -> DataFrame:
+    """(doc_id, _h, text) -> (doc_id, _h, pos) of the lines to drop; ``whole`` judges long and short lines, too."""
+    lines = _lines(docs, 1 if whole else min_tokens, lead)
     texts = F.count(F.lit(1))
-    leaves = lines.select("leaf", "_h").distinct().groupBy("leaf").agg(texts.alias("m")).filter(F.col("m") >= min_docs).select("leaf")
+    leaves = lines.select("leaf", "_h").distinct().groupBy("leaf").agg(texts.alias("m")).filter(F.col("m") >= (LONG_DOCS if whole else min_docs)).select("leaf")
     places = materialize(lines.join(leaves, "leaf"))
     support = places.select("leaf", "form", "_h").distinct().groupBy("leaf", "form").agg(texts.alias("d"))
     forms = places.groupBy("leaf", "form").agg(F.first("line").alias("line")).join(support, ["leaf", "form"])
@@ -57,10 +64,17 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_T
     seen = F.sum("d").over(Window.partitionBy("leaf", "at", "token"))
     token = token.withColumn("token", F.when((seen >= min_docs) & (F.col("token") != FIELD), F.col("token")))
     parsed = token.groupBy("leaf", "form").agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("t"), F.count("token").alias("fixed"), texts.alias("n"))
-    parsed = parsed.filter(F.col("fixed") >= F.col("n") * F.lit(constant)).select("leaf", "form", F.xxhash64("leaf", F.col("t.token")).alias("template"))
-    placed = places.select("leaf", "form", "doc_id", "_h", "pos").join(parsed, ["leaf", "form"]).select("template", "doc_id", "_h", "pos")
+    template, enough = F.xxhash64("leaf", F.col("t.token")), F.col("fixed") >= F.col("n") * F.lit(constant)
+    if whole:
+        # Equal forms share their template, so the first line of a template is the first of its form and stays.
+        worded = F.exists("t.token", lambda x: F.coalesce(x.rlike(r"\p{L}"), F.lit(False)))
+        long = forms.filter(F.octet_length("line") >= LONG_BYTES).select("leaf", "form", F.xxhash64("leaf", "form", F.lit("long")).alias("template"), F.lit(LONG_DOCS).alias("least"))
+        parsed = parsed.filter(enough & ((F.col("n") >= min_tokens) | worded)).select("leaf", "form", template.alias("template"), F.lit(min_docs).alias("least")).unionByName(long)
+    else:
+        parsed = parsed.filter(enough).select("leaf", "form", template.alias("template"), F.lit(min_docs).alias("least"))
+    placed = places.select("leaf", "form", "doc_id", "_h", "pos").join(parsed, ["leaf", "form"]).select("template", "least", "doc_id", "_h", "pos")
     rank = F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("y"), F.col("pos").alias("z"))
-    counted = placed.groupBy("template", "_h").agg(F.min(rank).alias("r")).groupBy("template").agg(texts.alias("m"), F.min("r").alias("r")).filter(F.col("m") >= min_docs)
+    counted = placed.groupBy("template", "_h").agg(F.min(rank).alias("r"), F.first("least").alias("least")).groupBy("template").agg(texts.alias("m"), F.min("r").alias("r"), F.first("least").alias("least")).filter(F.col("m") >= F.col("least"))
     dropped = placed.join(counted.select("template", "r"), "template").filter(rank != F.col("r"))
     return dropped.select("doc_id", "_h", "pos").distinct()
 
@@ -89,8 +103,8 @@ def op3_template_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: all documents, without recurring lines."""
-    return drop_templates(docs)
+    """Pipeline stage: all documents, without recurring lines, long and short ones included."""
+    return drop_templates(docs, whole=True)
 
 
 #: Rows (rid, doc_id, text, kept) of the documents; {{docs}} is a table or a query in brackets.
