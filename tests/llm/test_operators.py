@@ -127,6 +127,20 @@ def test_stage_drops_long_and_short_recurring_lines(spark):
     assert kept_lines(spark, texts) == want
 
 
+def test_stage_generalises_fields(spark):
+    rng = random.Random(4)
+    own = [prose(rng, 30) for _ in range(60)]
+    log = [f"[2024-01-{i:02}] 10:0{i} INFO page {i} of {i + 3} served" for i in range(1, 7)]
+    assert kept_lines(spark, [f"{own[i]}\n{line}" for i, line in enumerate(log)]) == [[own[0], log[0]]] + [[own[i]] for i in range(1, 6)]
+    # Each name and each town stands in more than MIN_DOCS texts, each pair of them in 3.
+    names, towns = "Ann Bob Cid Dan Eve".split(), "Rome Oslo Bonn Lima".split()
+    sent = [f"This letter was sent by {n} from {t}" for n in names for t in towns for _ in range(3)]
+    assert kept_lines(spark, [f"{own[i]}\n{line}" for i, line in enumerate(sent)])[1:] == [[own[i]] for i in range(1, 60)]
+    # Prose that only begins alike stays.
+    alike = [f"It was then {prose(rng, 8)}" for _ in range(20)]
+    assert kept_lines(spark, [f"{own[i]}\n{line}" for i, line in enumerate(alike)]) == [[own[i], line] for i, line in enumerate(alike)]
+
+
 def shingles(text):
     w = re.findall(rb"[^\x20\x09-\x0D]+", bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode()))
     return frozenset() if not w else frozenset([tuple(w)]) if len(w) < 5 else frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4))

@@ -14,6 +14,11 @@ That is what the operator's SQL text says.  The pipeline's stage drops more (``w
 a line whose masked form has ``LONG_BYTES`` bytes goes from ``LONG_DOCS`` different texts
 on, and lines under ``min_tokens`` tokens are judged as all others, if a token that
 recurs in them has a letter (brackets and rules of code and tables are no repeats).
+There, tokens with a digit don't count against a template's constant tokens, and a
+second, coarser template of a line takes a token for a field unless ``SHARE`` of the
+leaf's texts show it, however large the corpus; it needs a constant token beyond the
+``lead`` ones and half of the tokens without a digit.  Lines that share the finer
+template share the coarser one, so each template's first line is left by both.
 
 Only DataFrame functions run here.  Counting is on hashes; texts are shuffled
 once for the lines of candidate leaves and once to rewrite documents.
@@ -37,6 +42,7 @@ CONSTANT = 0.8
 FIELD = "<*>"
 LONG_BYTES = 50
 LONG_DOCS = 2
+SHARE = 0.3
 
 
 def _lines(docs: DataFrame, min_tokens: int, lead: int) -> DataFrame:
@@ -56,22 +62,20 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_T
     """(doc_id, _h, text) -> (doc_id, _h, pos) of the lines to drop; ``whole`` judges long and short lines, too."""
     lines = _lines(docs, 1 if whole else min_tokens, lead)
     texts = F.count(F.lit(1))
-    leaves = lines.select("leaf", "_h").distinct().groupBy("leaf").agg(texts.alias("m")).filter(F.col("m") >= (LONG_DOCS if whole else min_docs)).select("leaf")
+    leaves = lines.select("leaf", "_h").distinct().groupBy("leaf").agg(texts.alias("m")).filter(F.col("m") >= (LONG_DOCS if whole else min_docs))
+    leaves = leaves if whole else leaves.select("leaf")
     places = materialize(lines.join(leaves, "leaf"))
     support = places.select("leaf", "form", "_h").distinct().groupBy("leaf", "form").agg(texts.alias("d"))
     forms = places.groupBy("leaf", "form").agg(F.first("line").alias("line")).join(support, ["leaf", "form"])
     token = forms.select("leaf", "form", "d", F.posexplode(F.split("line", " ")).alias("at", "token"))
     seen = F.sum("d").over(Window.partitionBy("leaf", "at", "token"))
-    token = token.withColumn("token", F.when((seen >= min_docs) & (F.col("token") != FIELD), F.col("token")))
-    parsed = token.groupBy("leaf", "form").agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("t"), F.count("token").alias("fixed"), texts.alias("n"))
-    template, enough = F.xxhash64("leaf", F.col("t.token")), F.col("fixed") >= F.col("n") * F.lit(constant)
+    fixed = lambda least: F.when((seen >= least) & (F.col("token") != FIELD), F.col("token"))
     if whole:
-        # Equal forms share their template, so the first line of a template is the first of its form and stays.
-        worded = F.exists("t.token", lambda x: F.coalesce(x.rlike(r"\p{L}"), F.lit(False)))
-        long = forms.filter(F.octet_length("line") >= LONG_BYTES).select("leaf", "form", F.xxhash64("leaf", "form", F.lit("long")).alias("template"), F.lit(LONG_DOCS).alias("least"))
-        parsed = parsed.filter(enough & ((F.col("n") >= min_tokens) | worded)).select("leaf", "form", template.alias("template"), F.lit(min_docs).alias("least")).unionByName(long)
+        parsed = _whole(token, forms, places, fixed, min_docs, min_tokens, lead, constant)
     else:
-        parsed = parsed.filter(enough).select("leaf", "form", template.alias("template"), F.lit(min_docs).alias("least"))
+        token = token.withColumn("token", fixed(min_docs))
+        parsed = token.groupBy("leaf", "form").agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("t"), F.count("token").alias("fixed"), texts.alias("n"))
+        parsed = parsed.filter(F.col("fixed") >= F.col("n") * F.lit(constant)).select("leaf", "form", F.xxhash64("leaf", F.col("t.token")).alias("template"), F.lit(min_docs).alias("least"))
     placed = places.select("leaf", "form", "doc_id", "_h", "pos").join(parsed, ["leaf", "form"]).select("template", "least", "doc_id", "_h", "pos")
     rank = F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("y"), F.col("pos").alias("z"))
     counted = placed.groupBy("template", "_h").agg(F.min(rank).alias("r"), F.first("least").alias("least")).groupBy("template").agg(texts.alias("m"), F.min("r").alias("r"), F.first("least").alias("least")).filter(F.col("m") >= F.col("least"))
@@ -79,6 +83,24 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_T
     return dropped.select("doc_id", "_h", "pos").distinct()
 
 
+def _whole(token: DataFrame, forms: DataFrame, places: DataFrame, fixed, min_docs: int, min_tokens: int, lead: int, constant: float) -> DataFrame:
+    """(leaf, form, template, least): the templates of each form, and the texts that each must recur in."""
+    sizes = places.select("leaf", "m").distinct()
+    token = token.join(sizes, "leaf").select("leaf", "form", "at", (F.col("token") == FIELD).alias("field"), fixed(min_docs).alias("fine"), fixed(F.greatest(F.lit(min_docs), F.ceil(F.col("m") * F.lit(SHARE)))).alias("coarse"))
+    parsed = token.groupBy("leaf", "form").agg(F.array_sort(F.collect_list(F.struct("at", "fine", "coarse"))).alias("t"), F.count("fine").alias("n_fine"), F.count("coarse").alias("n_coarse"), F.count_if("field").alias("fields"), F.count(F.lit(1)).alias("n"))
+    worded = lambda name: F.exists(F.col("t")[name], lambda x: F.coalesce(x.rlike(r"\p{L}"), F.lit(False)))
+    words = F.col("n") - F.col("fields")
+    as_sql = (F.col("n") >= min_tokens) & (F.col("n_fine") >= F.col("n") * F.lit(constant))
+    fine = as_sql | ((F.col("n_fine") >= words * F.lit(constant)) & worded("fine"))
+    coarse = (F.col("n_coarse") > lead) & (F.col("n_coarse") * 2 >= words) & worded("coarse")
+    of = lambda name: F.xxhash64("leaf", F.lit(name), F.col("t")[name])
+    each = F.explode(F.array_compact(F.array(F.when(fine, of("fine")), F.when(coarse, of("coarse")))))
+    recur = parsed.select("leaf", "form", each.alias("template"), F.lit(min_docs).alias("least"))
+    # Equal forms share their templates, too.
+    long = forms.filter(F.octet_length("line") >= LONG_BYTES).select("leaf", "form", F.xxhash64("leaf", F.lit("long"), "form").alias("template"), F.lit(LONG_DOCS).alias("least"))
+    return recur.unionByName(long)
+
+
 def _rewritten(docs: DataFrame, **options) -> DataFrame:
     """_row (the document), _n and _d (its lines and dropped lines) and _kept (the text left)."""
     keyed = docs.select(F.struct("*").alias("_row"), "doc_id", "text", F.xxhash64("text").alias("_h"))
