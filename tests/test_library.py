@@ -109,3 +109,27 @@ def test_records_skip_empty_questions(spark):
     rows = [(0, "a", "Maria buys 3 eggs for $4. How many eggs?", "x\n#### 12", None, "t"), (1, "b", " ", "1", None, None)]
     out = kb.records(spark.createDataFrame(rows, "ord long, task_id string, question string, answer string, solution_steps string, question_type string")).collect()
     assert len(out) == 1 and out[0]["surface_template"] == "Maria buys <NUM> eggs for <MONEY>. How many eggs?" and out[0]["persons"] == ["Maria"] and out[0]["units"] == ["eggs"]
+
+
+def test_banks_and_pools_of_all_kinds(spark, sf):
+    records = catalog.known(spark, sf).select("ord", "persons", "focus_terms", "units", "task_id", "question_type").collect()
+    seen = {}
+    for r in sorted(records, key=lambda r: r["ord"]):
+        for kind, terms in (("person", r["persons"]), ("focus_term", r["focus_terms"]), ("unit", r["units"])):
+            for term in terms:
+                seen.setdefault((kind, term.lower()), []).append((term, r["task_id"], r["question_type"]))
+    want = sorted((kind, v[0][0], len(v), min(x[1] for x in v), len({x[2] for x in v})) for (kind, _), v in seen.items())
+    got = catalog.QUERIES["concept_bank_all_kinds"](spark, sf).select("kind", "term", "cnt", "first_id", "n_types").collect()
+    assert sorted(map(tuple, got)) == want and {w[0] for w in want} == {"person", "focus_term", "unit"}
+    pools = {r["kind"]: (list(r["pool"]), r["size"]) for r in catalog.QUERIES["entity_pools_all_kinds"](spark, sf).collect()}
+    for kind in ("person", "focus_term", "unit"):
+        terms = [t for _, _, t in sorted((-w[2], w[1].lower(), w[1].strip()) for w in want if w[0] == kind and w[1].strip())]
+        assert pools[kind] == (list(dict.fromkeys(terms)), len(set(terms)))
+
+
+def test_fallback_scores_of_all_rows(spark, sf):
+    got = catalog.QUERIES["fallback_step_scores_all_rows"](spark, sf).collect()
+    # Three words with a digit reach the top; one number does so by the point for holding the answer.
+    want = [(r["task_id"], [1.0, 0.5, 1.0 if str(r["fin"]) in str(r["p"]) else 0.75, 1.0], [1.0] * 4) for r in catalog.seeds(spark, sf).select("task_id", "p", "fin").collect()]
+    assert sorted((r["task_id"], r["scores"], r["efficiencies"]) for r in got) == sorted(want)
+    assert len(got) > catalog.QUERIES["fallback_step_scores"](spark, sf).count()

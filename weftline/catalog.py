@@ -354,6 +354,13 @@ def concept_bank(spark, d):
     return b.select("kind", "term", F.col("count").alias("cnt"), F.array_min("task_ids").alias("first_id"), F.size(F.array_distinct("question_types")).cast("long").alias("n_types"))
 
 
+@query()
+def concept_bank_all_kinds(spark, d):
+    """The whole bank; the SQL text of concept_bank has the units only, as SQL can't find persons and focus terms."""
+    b = K.concept_bank(known(spark, d))
+    return b.select("kind", "term", F.col("count").alias("cnt"), F.array_min("task_ids").alias("first_id"), F.size(F.array_distinct("question_types")).cast("long").alias("n_types"))
+
+
 @query(f"""WITH {SEED} SELECT lower(scene) key, count(*) cnt, round(avg(len(regexp_extract_all(solution, '<<'))), 3) avg_step_count, array_to_string(list_sort(list_distinct(list(question_type))), ',') question_types
  FROM (SELECT *, CASE k % 4 WHEN 2 THEN replace(m, 'April Aunt ' || name, '<PERSON> <PERSON> <PERSON>') WHEN 3 THEN replace(m, name || '''s', '<PERSON>') ELSE replace(m, name, '<PERSON>') END scene FROM (SELECT *, {_MASK} m FROM seed)) GROUP BY 1""")
 def scene_bank(spark, d):
@@ -375,6 +382,12 @@ def entity_pools(spark, d):
     return K.entity_pools(K.concept_bank(known(spark, d))).filter("kind = 'unit'").select("kind", F.size("pool").cast("long").alias("size"))
 
 
+@query()
+def entity_pools_all_kinds(spark, d):
+    """The pools of all kinds with their terms; the SQL text of entity_pools has the size of the units' only."""
+    return K.entity_pools(K.concept_bank(known(spark, d))).select("kind", "pool", F.size("pool").cast("long").alias("size"))
+
+
 # -- answers and scores -----------------------------------------------------------------------------------------------
 
 
@@ -541,6 +554,15 @@ def fallback_step_scores(spark, d):
     return x.filter(~F.contains(T.number_token(step), F.col("fin").cast("string"))).select("task_id", F.round(F.col("s")[0]["score"], 3).alias("first_score"))
 
 
+@query()
+def fallback_step_scores_all_rows(spark, d):
+    """All rows and steps of each branch; the SQL text of fallback_step_scores leaves out the steps that hold the answer."""
+    x = seeds(spark, d)
+    step = text(F.col("name"), " computes ", F.col("q").cast("string"), " * ", F.col("p").cast("string"), " = ", F.col("r").cast("string"))
+    x = x.withColumn("s", R.fallback_step_scores(F.array(step, F.lit("Done"), F.col("p").cast("string"), F.col("fin").cast("string")), F.col("fin").cast("string")))
+    return x.select("task_id", F.transform("s", lambda v: F.round(v["score"], 3)).alias("scores"), F.transform("s", lambda v: F.round(v["efficiency"], 3)).alias("efficiencies"))
+
+
 @query(f"""WITH {SEED} SELECT task_id, question AS input, 'Step 1: First, use the given information to find product; this gives the first quantity needed for the rest of the solution: ' || q || '*' || p || '=' || r || chr(10) ||
  'Step 2: ' || CASE WHEN k % 2 = 0 THEN 'Finally, combine the relevant given information or earlier quantities to find sum; this answers the question directly: ' || r || '+' || k ELSE 'Done' END || chr(10) || 'The answer is $\\boxed{{' || fin || '}}$.' AS output FROM seed WHERE k <> 6""")
 def training_export(spark, d):
