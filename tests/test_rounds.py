@@ -40,6 +40,56 @@ def test_a_wrong_answer_is_repaired(spark, store):
     assert got["b"] == ("30", True) and got["a"][0] in ("3", "12") and got["a"][1]
 
 
+def scripted_backend(*args):
+    class Scripted:
+        """Votes split two ways until the third; the audit and the repairs follow the steps that the prompt shows; each prompt goes to a log."""
+
+        def __init__(self, log, stubborn=False):
+            self.log, self.stubborn = log, stubborn
+
+        def complete(self, prompts, temperature):
+            out = []
+            for p in prompts:
+                with open(self.log, "a") as f:
+                    f.write(json.dumps(p) + "\n")
+                if p.startswith("audit"):
+                    good = "GOOD" in p and not self.stubborn
+                    out.append(json.dumps(dict(question_valid=True, solvable=True, unique_answer=True, answer_correct=True, steps_correct=good, difficulty_match=True, estimated_difficulty="Equal", error_type="none", repair_action="repair_solution")))
+                elif p.startswith("repair"):
+                    out.append(json.dumps(dict(question="Other?" if self.stubborn else "Changed?", steps=[f"GOOD {len(p)}, 12"], answer="12")))
+                else:
+                    split = "SPLIT" in p and sum(json.loads(x) == p for x in open(self.log)) == 2
+                    out.append(json.dumps(dict(solvable=True, unique_answer=True, answer="13" if split else "12", confidence=0.5)))
+            return out
+
+    return Scripted(*args)
+
+
+def scripted(spark, store, tmp_path, question, step, stubborn=False):
+    rows = [("a", question, [step], "12", "Equal")]
+    backend = scripted_backend(str(tmp_path / "log"), stubborn)
+    out = rounds.validation_rounds(spark.createDataFrame(rows, "plan_id string, question string, steps array<string>, answer string, target_difficulty string").coalesce(1), backend, store).collect()
+    return out, [json.loads(x) for x in open(tmp_path / "log")]
+
+
+def test_wrong_steps_are_audited_and_repaired(spark, store, tmp_path):
+    out, asked = scripted(spark, store, tmp_path, "How many?", "So it is 12")
+    assert [(r["passed"], r["round"], r["question"], r["answer"]) for r in out] == [(True, 1, "How many?", "12")] and out[0]["steps"][0].startswith("GOOD")
+    assert sum(p.startswith("repair 0, repair_solution") for p in asked) == 1
+
+
+def test_a_split_vote_gets_a_third(spark, store, tmp_path):
+    out, asked = scripted(spark, store, tmp_path, "SPLIT how many?", "GOOD 12")
+    assert [(r["passed"], r["round"]) for r in out] == [(True, 0)] and sum(p.startswith("round 0") for p in asked) == 3
+
+
+def test_stubborn_failures_are_replanned(spark, store, tmp_path):
+    out, asked = scripted(spark, store, tmp_path, "How many?", "So it is 12", stubborn=True)
+    assert [(r["passed"], r["question"]) for r in out] == [(False, "Other?")]
+    assert [p.split(":")[0] for p in asked if p.startswith("repair")] == ["repair 0, repair_solution", "repair 1, repair_solution", "repair 2, regenerate_question"]
+    assert ["New plan: {" in p for p in asked if p.startswith("repair")] == [False, False, True]
+
+
 def test_refinement_keeps_other_columns(spark, store):
     items = spark.createDataFrame([("a", ["x"], "Given 3 and 4", 9)], "plan_id string, steps array<string>, prompt string, other int")
     out = rounds.refine_rounds(items, rounds.StubBackend(), store).collect()

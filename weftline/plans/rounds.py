@@ -7,6 +7,7 @@ recomputed), and rows that are done leave the queue by an anti join.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterator
 from typing import Protocol
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import jsonx
 from ..functions import text as T
+from ..operators import planning as P
 from ..operators import validate as V
 
 
@@ -25,13 +27,24 @@ class Backend(Protocol):
 
 
 class StubBackend:
-    """Deterministic stand-in for a model: answers the product of the first two numbers below the prompt's first line, now and then in broken form."""
+    """Deterministic stand-in for a model: answers the product of the first two numbers below the prompt's first line, now and then in broken form.
+
+    An audit holds the answer and the steps against that product; a repair keeps the question.
+    """
 
     def complete(self, prompts: list[str], temperature: float) -> list[str]:
         out = []
         for p in prompts:
             a, b = ([int(x) for x in re.findall(r"\d+", p.split("\n", 1)[-1])] + [1, 1])[:2]
-            text = '{"question": "%s", "steps": ["Step 1: Given the numbers, %d * %d = %d."], "answer": "%d", "solvable": true, "unique_answer": true, "confidence": 0.9}' % (jsonx.ws(p.split("\n")[-1]).replace('"', "'"), a, b, a * b, a * b)
+            if p.startswith("audit "):
+                body = p.split("\n")
+                steps, answer = (next((x.split(":", 1)[1] for x in body if x.startswith(k)), "") for k in ("Steps:", "Answer:"))
+                right, shown = jsonx.answer_of(answer) == str(a * b), re.search(rf"(?<!\d){a * b}(?!\d)", steps) is not None
+                flags = {"question_valid": True, "solvable": True, "unique_answer": True, "answer_correct": right, "steps_correct": shown, "difficulty_match": True, "estimated_difficulty": next((x.split(": ", 1)[1] for x in body if x.startswith("Target difficulty: ")), "Equal")}
+                out.append(json.dumps(flags | {"error_type": "none" if right and shown else "answer_mismatch", "repair_action": "pass" if right and shown else "repair_solution"}))
+                continue
+            asked = p.split("\n")[1 if p.startswith("repair ") else -1]
+            text = '{"question": "%s", "steps": ["Step 1: Given the numbers, %d * %d = %d."], "answer": "%d", "solvable": true, "unique_answer": true, "confidence": 0.9}' % (jsonx.ws(asked).replace('"', "'"), a, b, a * b, a * b)
             out.append(text if "attempt 0" not in p or (a + b) % 3 else "no json here")
         return out
 
@@ -43,7 +56,6 @@ class HttpBackend:
         self.url, self.model, self.timeout, self.retries, self.max_tokens = url.rstrip("/"), model, timeout, retries, max_tokens
 
     def complete(self, prompts: list[str], temperature: float) -> list[str]:
-        import json
         import time
         import urllib.request
 
@@ -97,39 +109,80 @@ def generation_rounds(plans: DataFrame, backend: Backend, store: Callable[[DataF
     return done
 
 
-def validation_rounds(candidates: DataFrame, backend: Backend, store: Callable[[DataFrame], DataFrame], votes: int = 2, max_rounds: int = 3) -> DataFrame:
+def _blind(asked: DataFrame, backend: Backend, turn: int, votes: range) -> DataFrame:
+    """(plan_id, question) -> (plan_id, vote, raw) of the numbered votes."""
+    each = asked.select("plan_id", "question", F.explode(F.array(*map(F.lit, votes))).alias("vote"))
+    return infer(each, F.concat(F.lit(f"round {turn}\n"), "question"), backend, 0.1).select("plan_id", "vote", "raw")
+
+
+def _with_votes(checked: DataFrame, raw: DataFrame) -> DataFrame:
+    parsed = raw.withColumn("v", jsonx.parse_vote("raw")).filter("v.error = ''")
+    listed = parsed.groupBy("plan_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("vote", "v"))), lambda s: s["v"]).alias("votes"))
+    return checked.join(listed, "plan_id", "left").withColumn("votes", F.coalesce("votes", F.array().cast(listed.schema["votes"].dataType)))
+
+
+def _item(head: Column) -> list[Column]:
+    line = lambda name, c: F.concat(F.lit(f"{name}: "), F.coalesce(c, F.lit("")))
+    return [head, F.col("question"), line("Steps", F.array_join("steps", " | ")), line("Answer", F.col("answer")), line("Target difficulty", F.col("target_difficulty")), line("Blind consensus", F.col("blind.consensus_answer"))]
+
+
+def validation_rounds(candidates: DataFrame, backend: Backend, store: Callable[[DataFrame], DataFrame], votes: int = 2, max_rounds: int = 3, tiebreak: int = 1, replan_after: int = 3) -> DataFrame:
     """(plan_id, question, steps, answer, target_difficulty) -> final state of each candidate.
 
-    Per round: precheck, blind votes (a third where they disagree), the decision; what
-    fails is repaired with the consensus answer and validated again.
+    Per round: precheck, blind votes (``tiebreak`` more where they disagree), the backend's
+    audit of question, steps, answer and difficulty, the decision.  What fails goes to the
+    backend for repair: of the solution (the question stays), of the question, or, when a
+    repair changed nothing or ``replan_after`` rounds failed, as a new question after a
+    new plan.  Without a readable audit the round counts as failed and the candidate
+    is validated again as it is.
     """
     keys = ["plan_id", "question", "steps", "answer", "target_difficulty"]
-    pending, done = candidates.select(*keys), None
+    counts = ["failures", "repeats", "replans"]
+    pending, done = candidates.select(*keys, *(F.lit(0).alias(c) for c in counts)), None
     for turn in range(max_rounds + 1):
         checked = store(V.precheck(pending))
-        asked = checked.filter("question <> ''").select("plan_id", "question", F.explode(F.sequence(F.lit(0), F.lit(votes - 1))).alias("vote"))
-        raw = store(infer(asked, F.concat(F.lit(f"round {turn}\n"), "question"), backend, 0.1))
-        parsed = raw.withColumn("v", jsonx.parse_vote("raw")).filter("v.error = ''")
-        listed = parsed.groupBy("plan_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("vote", "v"))), lambda s: s["v"]).alias("votes"))
-        joined = checked.join(listed, "plan_id", "left").withColumn("votes", F.coalesce("votes", F.array().cast(listed.schema["votes"].dataType)))
-        joined = joined.withColumn("blind", V.vote_summary(F.col("votes")))
-        sure = F.col("blind")["consensus"]
-        audit = F.struct(
-            sure.alias("question_valid"), sure.alias("solvable"), sure.alias("unique_answer"), F.lit(True).alias("answer_correct"), F.lit(True).alias("steps_correct"), F.lit(True).alias("difficulty_match"),
-            F.col("target_difficulty").alias("estimated_difficulty"), F.lit("repair_solution").alias("repair_action"), F.lit("none").alias("error_type"),
-        )
-        state = store(V.decide(joined.withColumn("audit", audit)).withColumn("round", F.lit(turn)))
+        asked = checked.filter("question <> ''")
+        raw = store(_blind(asked, backend, turn, range(votes)))
+        open_ = _with_votes(asked, raw).filter(V.needs_tiebreak(F.col("votes")))
+        raw = raw.unionByName(store(_blind(open_, backend, turn, range(votes, votes + tiebreak)))) if tiebreak else raw
+        joined = store(_with_votes(checked, raw).withColumn("blind", V.vote_summary(F.col("votes"))))
+        said = infer(joined.filter("question <> ''"), F.concat_ws("\n", *_item(F.lit(f"audit {turn}: check question, steps, answer and difficulty; return the audit as JSON"))), backend, 0.1)
+        audits = store(said.select("plan_id", jsonx.parse_audit("raw").alias("audit"))).filter("audit.error = ''")
+        state = store(V.decide(joined.join(audits, "plan_id", "left")).withColumn("round", F.lit(turn)))
         passed = state.filter("passed").select(*keys, "round", "passed", "repair_action", "reasons")
         done = passed if done is None else done.unionByName(passed)
         failed = state.filter("NOT passed")
         if turn == max_rounds or not failed.limit(1).count():
             return done.unionByName(failed.select(*keys, "round", "passed", "repair_action", "reasons"))
-        answer = F.when(F.col("blind.consensus"), F.col("blind.consensus_answer")).otherwise(F.col("answer"))
-        steps = F.when(F.col("blind.consensus"), F.array(F.concat(F.lit("Given the problem, the answer is "), F.col("blind.consensus_answer"), F.lit(".")))).otherwise(F.col("steps"))
-        pending = store(failed.select("plan_id", "question", steps.alias("steps"), answer.alias("answer"), "target_difficulty"))
+        pending = store(_repaired(failed, backend, turn, keys, replan_after))
     return done
 
 
+def _repaired(failed: DataFrame, backend: Backend, turn: int, keys: list[str], replan_after: int) -> DataFrame:
+    """The failed candidates as the backend repairs them, with their counts of failures, unchanged repairs and replans."""
+    failed = failed.withColumn("failures", F.col("failures") + 1)
+    stubborn = F.col("failures") >= replan_after
+    action = F.when((F.col("repeats") >= 1) | stubborn, "regenerate_question").when(F.col("audit").isNull() & (F.col("question") != ""), "retry_validation").otherwise(F.col("repair_action"))
+    failed = failed.withColumn("action", action)
+    plan = P.replanned(F.col("plan_id"), F.lit(""), F.when(stubborn, "stubborn_validation").otherwise("validation_regeneration"), F.col("replans") + 1)
+    extra = F.when(F.col("action") == "regenerate_question", F.concat(F.lit("New plan: "), F.to_json(plan)))
+    head = F.concat(F.lit(f"repair {turn}, "), F.col("action"), F.lit(": return question, steps and answer as JSON"))
+    prompt = F.concat_ws("\n", *_item(head), F.concat(F.lit("Faults: "), F.array_join("reasons", ", ")), extra)
+    kept = failed.select(*keys, "failures", "repeats", "replans", "action", prompt.alias("_asked"))
+    told = kept.filter("action <> 'retry_validation'")
+    out = infer(told.filter("action = 'repair_solution'"), F.col("_asked"), backend, 0.2).unionByName(infer(told.filter("action <> 'repair_solution'"), F.col("_asked"), backend, 0.5))
+    out = out.withColumn("g", jsonx.parse_generated("raw")).withColumn("ok", F.col("g.error") == "")
+    question = F.when(F.col("ok") & (F.col("action") != "repair_solution"), F.col("g.question")).otherwise(F.col("question"))
+    steps, answer = F.when(F.col("ok"), F.col("g.steps")).otherwise(F.col("steps")), F.when(F.col("ok"), F.col("g.answer")).otherwise(F.col("answer"))
+    again = F.col("ok") & (question == F.col("question")) & (steps == F.col("steps")) & (answer == F.col("answer"))
+    new = F.col("ok") & (F.col("action") == "regenerate_question")
+    out = out.select(
+        "plan_id", question.alias("question"), steps.alias("steps"), answer.alias("answer"), "target_difficulty", F.when(new, 0).otherwise(F.col("failures")).alias("failures"),
+        F.when(again, F.col("repeats") + 1).when(F.col("ok"), 0).otherwise(F.col("repeats")).alias("repeats"), (F.col("replans") + new.cast("int")).alias("replans"),
+    )
+    return out.unionByName(kept.filter("action = 'retry_validation'").select(out.columns))
+
+
 def refine_rounds(items: DataFrame, backend: Backend, store: Callable[[DataFrame], DataFrame], max_rounds: int = 3) -> DataFrame:
     """(plan_id, steps, prompt) -> steps rewritten until they meet the step rules; all other columns stay."""
     pending, done = items, None
