@@ -242,6 +242,26 @@ def test_token_counts(spark, docs):
     assert sorted(want, key=repr) == [g for g in got if g[0] != 44]
 
 
+def test_long_pretokens_are_whole(spark):
+    pieces = tokencount.vocabulary(f"{tokencount.TOKENIZERS}/{tokencount.MODEL}")
+    rng = random.Random(8)
+    long = ["".join(rng.choices(["the", "information", "国", "z", "Ü", "q9", "ation", "\U0001f9ff"], k=400)), "x" * 513, "x" * 512]
+
+    def brute(word):
+        s, best = tokencount.MARK + word, [(0.0, 0)]
+        for j in range(1, len(s) + 1):
+            options = [(best[i][0] - pieces[s[i:j]], best[i][1] + 1) for i in range(max(0, j - 64), j) if s[i:j] in pieces]
+            if s[j - 1] not in pieces:
+                options.append((best[j - 1][0] - tokencount.UNKNOWN, best[j - 1][1] + len(s[j - 1].encode())))
+            best.append(min(options))
+        return best[-1][1]
+
+    assert max(map(len, pieces)) <= 64
+    docs = spark.createDataFrame([(i, f"a {w} b") for i, w in enumerate(long)], "doc_id long, text string")
+    got = sorted(tuple(r) for r in tokencount.count_tokens(docs).collect())
+    assert got == [(i, 3, brute("a") + brute(w) + brute("b")) for i, w in enumerate(long)]
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(4)
     vectors = [(i, [float(x) for x in rng.normal(0, 0.2, 8)], 0) for i in range(90)]

@@ -9,8 +9,9 @@ node, so a shared prefix costs once, and the terminal nodes' counts are stored.
 A character that no piece covers counts one token per UTF-8 byte (byte fallback).
 
 Ties: the fewer tokens win, so the count never depends on the order of pieces.
-Pre-tokens longer than ``CUT`` characters are cut there, a fixed limit of the
-pre-tokeniser that keeps the trie's depth bounded (all parts are counted).
+Pre-tokens longer than ``CUT`` characters go through the same recurrence on their own,
+with a window of the longest piece, so that the trie's depth and the table of counted
+pre-tokens stay bounded.
 
 Defined cases: null and empty texts have 0 tokens; ids and further columns pass
 through untouched; repeated rows are counted each; an empty table is empty.
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 import math
 import os
-from collections import Counter
+from collections import Counter, deque
 from functools import lru_cache
 
 import numpy as np
@@ -100,18 +101,32 @@ class TrieCounter:
         return out
 
 
+    def count_long(self, word: str) -> int:
+        """Tokens of one pre-token, without a trie."""
+        pieces, longest, tails = self.pieces, self.longest, self.tails
+        s = MARK + word
+        best: deque[tuple[float, int]] = deque([(0.0, 0)], maxlen=longest)
+        for at, ch in enumerate(s):
+            cost, n = best[-1]
+            top = (cost - pieces[ch], n + 1) if ch in pieces else (cost - UNKNOWN, n + len(ch.encode("utf-8", "surrogatepass")))
+            for size in range(2, min(longest, at + 1) + 1):
+                tail = s[at + 1 - size : at + 1]
+                if tail not in tails:
+                    break  # nor is anything longer the end of a piece
+                score = pieces.get(tail)
+                if score is not None:
+                    cost, n = best[-size]
+                    if (other := (cost - score, n + 1)) < top:
+                        top = other
+            best.append(top)
+        return best[-1][1]
+
+
 @lru_cache(maxsize=1)
-def worker_table(path: str) -> TokenTable:
+def worker_table(path: str) -> tuple[TrieCounter, TokenTable]:
     """The pre-tokens counted so far by this worker process; its tasks share it."""
     counter = TrieCounter(vocabulary(path))
-    return TokenTable(lambda words: counter.counts(words)[:, None].astype(np.float64), CAPACITY)
-
-
-def pretokens(text: str) -> list[str]:
-    words = text.split()
-    if any(len(w) > CUT for w in words):
-        words = [w[i : i + CUT] for w in words for i in range(0, len(w), CUT)]
-    return words
+    return counter, TokenTable(lambda words: counter.counts(words)[:, None].astype(np.float64), CAPACITY)
 
 
 def count_tokens(docs: DataFrame, model_path: str | None = None) -> DataFrame:
@@ -119,12 +134,13 @@ def count_tokens(docs: DataFrame, model_path: str | None = None) -> DataFrame:
     path = model_path or os.path.join(TOKENIZERS, MODEL)
 
     def run(batches):
-        known = worker_table(path)
+        counter, known = worker_table(path)
         for chunk in text_chunks(batches):
-            bags = [Counter(pretokens(t)) if t else Counter() for t in chunk.column("text").to_pylist()]
-            sums = known.pooled(bags)[:, 0]
+            words = [t.split() if t else [] for t in chunk.column("text").to_pylist()]
+            sums = known.pooled([Counter(w for w in ws if len(w) <= CUT) for ws in words])[:, 0]
+            sums = sums + [sum(counter.count_long(w) for w in ws if len(w) > CUT) for ws in words]
             yield pa.RecordBatch.from_arrays(
-                [chunk.column("doc_id"), pa.array([b.total() for b in bags], pa.int64()), pa.array(np.rint(sums).astype(np.int64))], names=["doc_id", "n_pretokens", "n_tokens"]
+                [chunk.column("doc_id"), pa.array([len(ws) for ws in words], pa.int64()), pa.array(np.rint(sums).astype(np.int64))], names=["doc_id", "n_pretokens", "n_tokens"]
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
