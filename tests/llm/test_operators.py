@@ -262,6 +262,11 @@ def test_long_pretokens_are_whole(spark):
     assert got == [(i, 3, brute("a") + brute(w) + brute("b")) for i, w in enumerate(long)]
 
 
+def test_words_of_all_learning_texts_are_indexed():
+    texts = ["ka lo mi"] * 2100 + ["zuzu ka lo"] * 20
+    assert "zuzu" in quality.QualityModel(texts, [i % 2 for i in range(len(texts))]).words.names
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(4)
     vectors = [(i, [float(x) for x in rng.normal(0, 0.2, 8)], 0) for i in range(90)]

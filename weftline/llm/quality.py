@@ -26,7 +26,6 @@ from .common import labelled_sample, scored, table
 
 MODULUS, HELD = 4, 2
 SAMPLE = 8_000
-INDEX_SAMPLE = 2_000
 THRESHOLD = 0.7
 DIM, NONZERO, WINDOW = 64, 6, 2
 HIDDEN, EPOCHS, RATE = 24, 120, 0.01
@@ -139,7 +138,7 @@ class QualityModel:
         self.net = None
         if not len(y) or y.min() == y.max():
             return
-        self.words = WordVectors(texts[:INDEX_SAMPLE])
+        self.words = WordVectors(texts)
         x = self.pool(texts)
         self.mean, self.spread = x.mean(0), x.std(0) + 1e-6
         x = (x - self.mean) / self.spread
