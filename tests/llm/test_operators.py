@@ -94,9 +94,12 @@ def test_decontamination(spark, docs):
 
 def test_proximity(spark):
     d = spark.createDataFrame([(1, "a b c d e x g h i j k"), (2, "a b z d e x g q i j k")], "doc_id long, text string").withColumn("_h", F.xxhash64("text"))
-    w = decontam.item_windows(spark.createDataFrame([(7, "a b c d e f g h i j")], "item_id long, text string"), 10)
-    assert [r["doc_id"] for r in decontam.occurrences(d, w, 0.9).collect()] == [1]
-    assert decontam.occurrences(d, w).count() == 0
+    windows, _ = decontam.item_windows(spark.createDataFrame([(7, "a b c d e f g h i j")], "item_id long, text string"), 10)
+    terms = windows.select(F.explode("window").alias("term")).distinct().withColumn("t", F.monotonically_increasing_id())
+    index = decontam.postings(d, terms)
+    ids = {r["rid"]: r["doc_id"] for r in index.filter("t = -1").collect()}
+    assert [ids[r["rid"]] for r in decontam.occurrences(index, windows, terms, 0.9).collect()] == [1]
+    assert decontam.occurrences(index, windows, terms).count() == 0
 
 
 def test_line_dedup(spark, docs):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
@@ -15,8 +16,12 @@ from pyspark.sql import functions as F
 #: Bytes of text that one numpy working set may cover; a longer document is a set of its own.
 CHUNK_BYTES = 2_000_000
 
-#: A longer text is not learned from, so that a bounded number of rows is a bounded number of bytes.
+#: A longer text is not learned from, and what a model learns from has so many bytes at most.
 LEARN_BYTES = 1_000_000
+LEARN_TOTAL = 64_000_000
+
+#: A table of at most so many rows, which are counted first, may be broadcast.
+BROADCAST_ROWS = 200_000
 
 #: Word pattern of the contracts that split on ASCII white space.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
@@ -26,14 +31,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _drop_at_exit(spark: SparkSession, path: str) -> None:
+    """The file system that holds ``path`` deletes it when the driver ends."""
+    held = spark._jvm.org.apache.hadoop.fs.Path(path)
+    held.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(held)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; where that is unset (tests, a single machine), a temporary folder."""
+    """The session's ``spark.checkpoint.dir``.  Where that is unset, a temporary folder in local mode, else an error."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="weftline-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            named = tempfile.mkdtemp(prefix="weftline-")
+            _drop_at_exit(spark, named)
+        sc.setCheckpointDir(named)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read again; the driver's end deletes it."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _drop_at_exit(spark, path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``rows`` rows, which are counted; ``df`` should be a materialised table."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared checkpoint folder."""
     shared_folder(df.sparkSession)
@@ -113,20 +144,40 @@ class TokenTable:
         return out
 
 
+def texts_within(docs: DataFrame, wanted: list[tuple], total: int = LEARN_TOTAL) -> dict[tuple, str]:
+    """(doc_id, hash) -> text of the first ``wanted`` (doc_id, hash, bytes) rows that have ``total`` bytes together.
+
+    So the driver gets a bounded number of bytes, however many rows share an id or a text.
+    """
+    keys, held = [], 0
+    for doc_id, code, size in wanted:
+        held += size
+        if held > total:
+            break
+        keys.append((doc_id, code))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    asked = docs.sparkSession.createDataFrame(keys, f"doc_id {kind}, _h long")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("_h"), "text").filter(F.octet_length("text") <= LEARN_BYTES)
+    rows = rows.join(F.broadcast(asked), ["doc_id", "_h"]).dropDuplicates(["doc_id", "_h"]).toArrow()
+    return dict(zip(zip(rows.column("doc_id").to_pylist(), rows.column("_h").to_pylist()), rows.column("text").to_pylist()))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, most: int) -> list[tuple[str, int]]:
-    """At most ``most`` labelled (text, label) rows to learn from, on the driver.
+    """At most ``most`` labelled (text, label) rows of ``LEARN_TOTAL`` bytes to learn from, on the driver.
 
     The rows are those with the smallest hashes of doc_id among the labelled
     documents outside the held-out fold; ``most`` bounds what is broadcast and
-    what the driver gets.  Equal texts with equal labels count once.
+    the rows of ids and sizes that the driver gets first.  Equal texts with equal
+    labels count once.
     """
     free = labels.filter(F.col(label).isNotNull() & (bucket_of(F.col("doc_id"), modulus) != held))
-    chosen = free.select("doc_id", F.col(label).cast("int").alias("label")).distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most)
-    rows = docs.select("doc_id", "text").filter(F.octet_length("text") <= LEARN_BYTES).join(F.broadcast(chosen), "doc_id").select("text", "label", "doc_id").toArrow()
-    order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
-    pairs = zip(rows.column("text").to_pylist(), rows.column("label").to_pylist())
-    listed = list(pairs)
-    return list(dict.fromkeys(listed[i] for i in order))
+    order = [F.xxhash64("doc_id"), "doc_id"]
+    chosen = free.select("doc_id", F.col(label).cast("int").alias("label")).distinct().orderBy(*order, "label").limit(most)
+    fit = docs.select("doc_id", F.xxhash64("text").alias("_h"), F.octet_length("text").alias("_n")).filter(F.col("_n") <= LEARN_BYTES)
+    rows = fit.join(F.broadcast(chosen), "doc_id").distinct().orderBy(*order, "_h", "label").limit(most).collect()
+    texts = texts_within(docs, list(dict.fromkeys((r["doc_id"], r["_h"], r["_n"]) for r in rows)))
+    rows = sorted((r for r in rows if (r["doc_id"], r["_h"]) in texts), key=lambda r: (r["doc_id"], r["_h"], r["label"]))
+    return list(dict.fromkeys((texts[r["doc_id"], r["_h"]], r["label"]) for r in rows))
 
 
 def scored(docs: DataFrame, score: Callable[[list], np.ndarray], modulus: int, held: int, threshold: float) -> DataFrame:
