@@ -9,8 +9,9 @@ entropy per symbol.  Calibration on learning documents that were left out of the
 counts gives the score (a tempered posterior) and, per language, how high the cross
 entropy of real text of that length may be; beyond that a text is rejected.
 
-The models are fitted on a bounded sample (``SAMPLE`` documents per language);
-every text is scored whole.
+The models are fitted on a bounded sample (``SAMPLE`` documents per language, at most
+``SAMPLE_ROWS`` rows and ``LEARN_TOTAL`` bytes in all, in equal shares); every text is
+scored whole.
 
 Defined cases: a null text, or one without a letter, is ``und``, rejected, score
 0; equal cross entropies go to the first language by name; rows with null lang
@@ -21,6 +22,7 @@ or null doc_id are never learned from; with nothing to learn from every text is
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 
 import numpy as np
@@ -28,13 +30,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LEARN_BYTES, TokenTable, bucket_of, table, text_chunks
+from .common import LEARN_BYTES, LEARN_TOTAL, TokenTable, bucket_of, table, text_chunks, texts_within
 
 MODULUS, HELD = 4, 2
 SAMPLE = 1_500
+SAMPLE_ROWS = 150_000
 ORDER = 4
 BEGIN, END = "\x02", "\x03"
-WORD = re.compile(r"[^\W\d_]+")
+
+
+def _letters() -> re.Pattern:
+    """Runs of letters: word characters without the underscore and all numbers, fractions and number signs among them."""
+    others = [c for c in range(sys.maxunicode + 1) if chr(c).isalnum() and not chr(c).isalpha()]
+    first = [c for i, c in enumerate(others) if not i or others[i - 1] != c - 1]
+    last = [c for i, c in enumerate(others) if i + 1 == len(others) or others[i + 1] != c + 1]
+    return re.compile(f"[^\\W_{''.join(f'{chr(a)}-{chr(b)}' for a, b in zip(first, last))}]+")
+
+
+WORD = _letters()
 UNKNOWN = "und"
 #: Rejected beyond so many standard deviations above the mean cross entropy.
 TOLERANCE = 8.0
@@ -200,13 +213,21 @@ class LanguageModel:
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
     """Fits on about ``sample`` documents per language, those with the smallest hashes of doc_id."""
-    free = docs.filter(F.col("lang").isNotNull() & (bucket_of(F.col("doc_id"), MODULUS) != HELD))
+    free = docs.select("lang", "doc_id", F.xxhash64("text").alias("_h"), F.octet_length("text").alias("_n")).filter(F.col("lang").isNotNull() & (bucket_of(F.col("doc_id"), MODULUS) != HELD))
     sizes = free.groupBy("lang").agg((F.lit(float(sample)) / F.count(F.lit(1))).alias("_part"))
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    rows = free.filter(F.octet_length("text") <= LEARN_BYTES).join(F.broadcast(sizes), "lang").filter(chance < F.col("_part")).select("lang", "doc_id", "text").toArrow()
+    rows = free.filter(F.col("_n") <= LEARN_BYTES).join(sizes, "lang").filter(chance < F.col("_part")).select("lang", "doc_id", "_h", "_n")
+    rows = rows.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "_h", "lang").limit(SAMPLE_ROWS).collect()
+    share, used, wanted = LEARN_TOTAL // max(1, len({r["lang"] for r in rows})), Counter(), []
+    for r in rows:
+        used[r["lang"]] += r["_n"]
+        if used[r["lang"]] <= share:
+            wanted.append(r)
+    held = texts_within(docs, list(dict.fromkeys((r["doc_id"], r["_h"], r["_n"]) for r in wanted)))
     texts: dict[str, list[str]] = {}
-    for _, lang, text in sorted(zip(rows.column("doc_id").to_pylist(), rows.column("lang").to_pylist(), rows.column("text").to_pylist())):
-        texts.setdefault(lang, []).append(text)
+    for r in sorted(wanted, key=lambda r: (r["doc_id"], r["_h"], r["lang"])):
+        if (r["doc_id"], r["_h"]) in held:
+            texts.setdefault(r["lang"], []).append(held[r["doc_id"], r["_h"]])
     return LanguageModel(texts)
 
 
