@@ -23,6 +23,9 @@ LEARN_TOTAL = 64_000_000
 #: A table of at most so many rows, which are counted first, may be broadcast.
 BROADCAST_ROWS = 200_000
 
+#: Parts that the rows of one key are dealt to where they are joined by a shuffle.
+SALTS = 16
+
 #: Word pattern of the contracts that split on ASCII white space.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 
@@ -82,6 +85,19 @@ def compact(df: DataFrame) -> DataFrame:
     return kept.coalesce(partitions_for(kept.count()))
 
 
+def split_join(left: DataFrame, right: DataFrame, key: list[str], spread: Column, how: str = "inner", rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``left`` joined with the materialised ``right``, which has one row per key.
+
+    A key may hold any share of ``left``: a small ``right`` is broadcast, else
+    the key's rows are dealt by ``spread`` over ``SALTS`` parts, each with a copy of
+    the key's one row.
+    """
+    if (small := bounded(right, rows)) is not right:
+        return left.join(small, key, how)
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).join(copies, [*key, "_salt"], how).drop("_salt")
+
+
 def bucket_of(key: Column, modulus: int) -> Column:
     """crc32 of the key's text modulo ``modulus`` (null for a null key)."""
     return F.crc32(key.cast("string").cast("binary")) % modulus
