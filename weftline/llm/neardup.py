@@ -6,9 +6,10 @@ minimum of exponentially spaced values, drawn per element in ascending order, so
 that an element stops as soon as it can't lower any register.  Registers are
 mergeable by maximum and as locality-sensitive as minwise hashes.  Bands of six
 register values make candidates (a pair at similarity 0.85 is missed by all 42
-bands with probability 1e-9); the likelihood of the registers' joint order
-estimates a candidate pair's similarity; pairs that are within 3.5 standard errors
-of the threshold or above are confirmed on their full sets.
+bands with probability 2e-9); the likelihood of the registers' joint order
+estimates a candidate pair's similarity; pairs that are within ``MARGIN`` standard
+errors of the threshold or above are confirmed on their full sets, so that of the true
+pairs right at the threshold about one in three million is refuted by its estimate.
 
 No bucket is expanded into all its pairs as rows.  First each node meets the
 centres (a random member per bucket) with which it shares most buckets, and
@@ -18,11 +19,15 @@ compares sketches, confirms the pairs across components and returns only the
 links that join something.  So every candidate pair is either confirmed, refuted
 or already connected.
 
+A row is known by its doc_id and the hash of its text, since a null or repeated doc_id
+does not name one.
+
 Defined cases: null or wordless texts have 0 shingles, are linked with nothing
 and are kept; a text of fewer than five words is one shingle; rows with a null
-doc_id take part, and a component is named by its smallest non-null doc_id;
-repeated rows share a node and, as their doc_id is the same, are all marked
-kept if it is the smallest; an empty table gives an empty result.
+doc_id take part, and a component is named by its smallest non-null doc_id; such a
+row is marked kept only if its component has no doc_id at all; rows that share the
+smallest doc_id are all marked kept; an empty table gives an empty result; further
+columns are not looked at.
 """
 
 from __future__ import annotations
@@ -33,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import compact, materialize, table, text_chunks
+from .common import bounded, compact, materialize, table, text_chunks
 from .graph import components
 from .rolling import Prefix, mixed
 
@@ -47,14 +52,16 @@ CENTRES = 2
 BLOCK = 512
 CELL_ROWS = 2048
 SET_BYTES = 6
+#: Standard errors that an estimate may lie under the threshold.
+MARGIN = 5.0
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 TURN = np.array([0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xA0761D6478BD642F], np.uint64)
 
 
 def floor_of_estimate(threshold: float) -> float:
-    """A pair that is estimated lower is not confirmed: 3.5 standard errors under the threshold."""
-    return threshold - 3.5 * (threshold * (1 - threshold) / REGISTERS) ** 0.5
+    """A pair that is estimated lower is not confirmed."""
+    return threshold - MARGIN * (threshold * (1 - threshold) / REGISTERS) ** 0.5
 
 
 def shingle_sets(texts: list[bytes], width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -176,7 +183,7 @@ def _keys(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) -> (doc_id, n, node, node2, sketch)."""
+    """(doc_id, text) -> (doc_id, h, n, node, node2, sketch); h is the hash of the text."""
 
     def run(batches):
         for chunk in text_chunks(batches):
@@ -184,11 +191,11 @@ def features(docs: DataFrame) -> DataFrame:
             node, node2 = _keys(h, at)
             rows = sketches(h, at)
             yield pa.RecordBatch.from_arrays(
-                [chunk.column("doc_id"), pa.array(np.diff(at).astype(np.int64)), _signed(node), _signed(node2), pa.array([r.tobytes() for r in rows], pa.binary())], names=["doc_id", "n", "node", "node2", "sketch"]
+                [chunk.column("doc_id"), chunk.column("h"), pa.array(np.diff(at).astype(np.int64)), _signed(node), _signed(node2), pa.array([r.tobytes() for r in rows], pa.binary())], names=["doc_id", "h", "n", "node", "node2", "sketch"]
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, node long, node2 long, sketch binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(run, f"doc_id {kind}, h long, n long, node long, node2 long, sketch binary")
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
@@ -291,12 +298,14 @@ def _across(percent: int, least: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, text) -> (doc_id, n_shingles, component_id, kept)."""
+def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, text) -> (doc_id, h, n, first) of each row; ``first`` is the (_, doc_id, h) of the row that stands for its component."""
     least = floor_of_estimate(percent / 100)
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
     each = materialize(features(docs))
-    nodes = materialize(each.filter("n > 0").groupBy("node", "node2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")).drop("node2"))
+    # The smallest doc_id stands for a node, a null one only where there is no other.
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    nodes = materialize(each.filter("n > 0").groupBy("node", "node2").agg(F.min(row).alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")).drop("node2"))
     band = F.posexplode(F.array(*(F.xxhash64(F.lit(i), F.substring("sketch", i * BAND_ROWS + 1, BAND_ROWS)) for i in range(BANDS))))
     banded = nodes.select("node", band.alias("band", "bucket"))
     # A bucket's centre is the node that is smallest after an exclusive-or with the bucket's hash: random, and another one in each bucket.
@@ -308,8 +317,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     pairs = shared.withColumn("r", best).filter(F.col("r") <= CENTRES).select(F.col("node").alias("a"), F.col("centre").alias("b"))
     sketch = lambda s: nodes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
     likely = compact(pairs.join(sketch("a"), "a").join(sketch("b"), "b").mapInArrow(_estimated(least), "a long, b long"))
-    asked = nodes.join(members.select("node").distinct(), "node").select("node", "rep")
-    sets = materialize(full_sets(docs.join(asked, docs["doc_id"].eqNullSafe(asked["rep"]))).dropDuplicates(["node"]))
+    asked = materialize(nodes.join(members.select("node").distinct(), "node").select("node", F.col("rep.doc_id").alias("rep"), F.col("rep.h").alias("rep_h")))
+    # The hash keeps the rows of a null or repeated doc_id apart.
+    sets = materialize(full_sets(docs.join(asked, docs["doc_id"].eqNullSafe(asked["rep"]) & (docs["h"] == asked["rep_h"]))).dropDuplicates(["node"]))
     full = lambda s: sets.select(F.col("node").alias(s), F.col("shingles").alias(f"set_{s}"))
     links = compact(likely.join(full("a"), "a").join(full("b"), "b").mapInArrow(_confirmed(percent), "a long, b long"))
     found = components(links)
@@ -330,10 +340,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     rep = nodes.select(F.col("node").alias("x"), "rep").join(found, F.col("x") == F.col("node"), "left").select("x", "rep", F.col("component").alias("c"))
     smallest = rep.filter("c IS NOT NULL").groupBy(F.col("c").alias("of")).agg(F.min("rep").alias("first"))
-    named = rep.join(smallest, F.col("c") == F.col("of"), "left").select("x", F.coalesce("first", "rep").alias("component_id"))
-    out = each.select("doc_id", "n", "node").join(named, (F.col("node") == F.col("x")) & (F.col("n") > 0), "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    named = rep.join(smallest, F.col("c") == F.col("of"), "left").select("x", F.coalesce("first", "rep").alias("first"))
+    return each.select("doc_id", "h", "n", "node").join(named, (F.col("node") == F.col("x")) & (F.col("n") > 0), "left").select("doc_id", "h", "n", "first")
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, text) -> (doc_id, n_shingles, component_id, kept)."""
+    component = F.coalesce("first.doc_id", "doc_id")
+    return groups(docs, percent).select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
 
 
 def op8_setsketch_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -341,6 +355,22 @@ def op8_setsketch_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group of near duplicates (similarity 0.8 and more) stays."""
-    kept = near_duplicates(docs, 80).filter("kept").select(F.col("doc_id").alias("_d")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_d"]), "left_semi").select(*docs.columns)
+    """Pipeline stage: one row of each group of near duplicates (similarity 0.8 and more) stays.
+
+    It is the row of the smallest doc_id; of rows without a doc_id, or of the same
+    doc_id, the one of the smallest text hash; of rows that agree in both, any one.
+    Null and wordless texts all stay.
+    """
+    each = materialize(groups(docs, 80).filter("n > 0"))
+    stands = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("h") == F.col("first.h"))
+    keys = each.select(F.col("doc_id").alias("_d"), F.col("h").alias("_x"), stands.alias("stands"))
+    gone = materialize(keys.filter("NOT stands").select("_d", "_x").distinct())
+    several = materialize(keys.filter("stands").groupBy("_d", "_x").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
+    keyed = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h"))
+    same = lambda side: keyed["_id"].eqNullSafe(side["_d"]) & (keyed["_h"] == side["_x"])
+    left = keyed.join(bounded(gone), same(gone), "left_anti")
+    if not several.limit(1).count():
+        return left.select("_row.*")
+    several = bounded(several)
+    one = keyed.join(several, same(several), "left_semi").groupBy("_id", "_h").agg(F.first("_row").alias("_row"))
+    return left.join(several, left["_id"].eqNullSafe(several["_d"]) & (left["_h"] == several["_x"]), "left_anti").select("_row.*").unionByName(one.select("_row.*"))
