@@ -13,8 +13,8 @@ per-source table and, per source, the per-shard table, never documents; a shard
 holds about ``shard_rows`` documents whatever the size of its source.
 
 Defined cases: null text counts 0 words; null is a source of its own, last in
-order; an empty table gives an empty result; repeated rows each count; sources
-of no words get target 0.
+order; an empty table gives an empty result; repeated rows each count; rows without
+a doc_id stand in the order of their texts' hashes; sources of no words get target 0.
 """
 
 from __future__ import annotations
@@ -88,7 +88,8 @@ def _null_safe(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
 
 def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, max_repeat: int = MAX_REPEAT, block_words: int = BLOCK_WORDS, shard_rows: int = SHARD_ROWS, seed: str = SEED) -> DataFrame:
     """(doc_id, source, text) -> (doc_id, size, source_size, target, taken)."""
-    mark = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    # Rows without a doc_id are dealt by their text.
+    mark = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))))
     sized = materialize(docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(SPACE_WORD)), F.lit(0)).cast("long").alias("size"), mark.alias("_mark")))
     sources = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.ceil(F.count(F.lit(1)) / F.lit(shard_rows)).alias("_shards")), weights, budget, max_repeat)
     sources = sources.withColumn("_blocks", F.floor(F.col("_budget") / F.lit(block_words) + F.lit(0.5)))
@@ -114,7 +115,10 @@ def op6_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents of which the mix takes words, and how many."""
+    """Pipeline stage: the documents of which the mix takes words, and how many.
+
+    Documents without words have nothing to take and go; an empty table stays empty.
+    """
     return mix(docs).filter("taken > 0")
 
 
@@ -133,7 +137,7 @@ SELECT *, base + won AS {out} FROM (
 ORACLE_SQL = f"""
 WITH sized AS (
  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-   md5('{SEED}|' || coalesce(doc_id::VARCHAR, '')) mark FROM {{docs}}),
+   md5('{SEED}|' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))) mark FROM {{docs}}),
 s0 AS (SELECT source, sum(size)::BIGINT source_size, ceil(count(*) / {SHARD_ROWS}e0)::BIGINT shards FROM sized GROUP BY source),
 s1 AS (SELECT *, [3e0, 1e0, 2e0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] w, source_size * 2e0 cap,
    sum(source_size) OVER () * 1.5e0 budget FROM s0),
