@@ -66,15 +66,20 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, lead: int = LEAD, const
     places = written(split_join(lines, leaves, ["leaf"], F.col("_h")), "places")
     support = places.select("leaf", "form", "_h").distinct().groupBy("leaf", "form").agg(texts.alias("d"))
     forms = materialize(places.groupBy("leaf", "form").agg(F.first("line").alias("line"), F.first("m").alias("m")).join(support, ["leaf", "form"]))
-    token = forms.select("leaf", "form", "d", "m", F.posexplode(F.split("line", " ")).alias("at", "token"))
-    seen = token.filter(F.col("token") != FIELD).groupBy("leaf", "at", "token").agg(F.sum("d").alias("seen")).filter(F.col("seen") >= min_docs)
-    token = split_join(token, materialize(seen), ["leaf", "at", "token"], F.col("form"), "left")
+    # Where fewer texts than make a constant reach a leaf, with all its forms together, it has none.
+    reached = materialize(forms.groupBy("leaf").agg(F.sum("d").alias("reached")).filter(F.col("reached") >= min_docs).select("leaf"))
+    token = split_join(forms, reached, ["leaf"], F.col("form")).select("leaf", "form", "d", "m", F.posexplode(F.split("line", " ")).alias("at", "token"))
+    token = token.select("leaf", "form", "d", "m", "at", F.xxhash64("leaf", "at", "token").alias("key"), (F.col("token") != FIELD).alias("word"), F.col("token").rlike(r"\p{L}").alias("letter"))
+    seen = token.filter("word").groupBy("key").agg(F.sum("d").alias("seen")).filter(F.col("seen") >= min_docs)
+    token = split_join(token, materialize(seen), ["key"], F.col("form"), "left")
     steady = F.greatest(F.lit(min_docs), F.ceil(F.col("m") * F.lit(share)))
-    token = token.select("leaf", "form", "at", (F.col("token") == FIELD).alias("field"), F.when(F.col("seen") >= min_docs, F.col("token")).alias("fine"), F.when(F.col("seen") >= steady, F.col("token")).alias("coarse"))
-    parsed = token.groupBy("leaf", "form").agg(F.array_sort(F.collect_list(F.struct("at", "fine", "coarse"))).alias("t"), F.count("fine").alias("n_fine"), F.count("coarse").alias("n_coarse"), F.count_if(~F.col("field")).alias("words"))
-    worded = lambda name: F.exists(F.col("t")[name], lambda x: F.coalesce(x.rlike(r"\p{L}"), F.lit(False)))
-    fine = (F.col("n_fine") >= F.col("words") * F.lit(constant)) & worded("fine")
-    coarse = (F.col("n_coarse") > lead) & (F.col("n_coarse") * 2 >= F.col("words")) & worded("coarse")
+    token = token.select("leaf", "form", "at", "word", "letter", F.when(F.col("seen") >= min_docs, F.col("key")).alias("fine"), F.when(F.col("seen") >= steady, F.col("key")).alias("coarse"))
+    has = lambda name: F.count_if(F.col("letter") & F.col(name).isNotNull()) > 0
+    parsed = token.groupBy("leaf", "form").agg(
+        F.array_sort(F.collect_list(F.struct("at", "fine", "coarse"))).alias("t"), F.count("fine").alias("n_fine"), F.count("coarse").alias("n_coarse"), F.count_if("word").alias("words"), has("fine").alias("l_fine"), has("coarse").alias("l_coarse")
+    )
+    fine = (F.col("n_fine") >= F.col("words") * F.lit(constant)) & F.col("l_fine")
+    coarse = (F.col("n_coarse") > lead) & (F.col("n_coarse") * 2 >= F.col("words")) & F.col("l_coarse")
     of = lambda name: F.xxhash64("leaf", F.lit(name), F.col("t")[name])
     each = F.explode(F.array_compact(F.array(F.when(fine, of("fine")), F.when(coarse, of("coarse")))))
     recur = parsed.select("leaf", "form", each.alias("template"), F.lit(min_docs).alias("least"))
