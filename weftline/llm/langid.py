@@ -252,6 +252,10 @@ def op1_kneser_ney_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: without the documents that language identification rejects."""
+    """Pipeline stage: without the documents that language identification rejects.
+
+    Null texts and texts without a letter are rejected; repeated rows share their fate;
+    where no row has a lang there is no model, and all are rejected.
+    """
     whole = docs.select(F.struct("*").alias("_row"), "text")
     return identify(whole, train(docs), ["_row"]).filter(~F.col("rejected")).select("_row.*")
