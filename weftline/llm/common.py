@@ -92,7 +92,7 @@ def split_join(left: DataFrame, right: DataFrame, key: list[str], spread: Column
     the key's rows are dealt by ``spread`` over ``SALTS`` parts, each with a copy of
     the key's one row.
     """
-    if (small := bounded(right, rows)) is not right:
+    if rows and (small := bounded(right, rows)) is not right:
         return left.join(small, key, how)
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).join(copies, [*key, "_salt"], how).drop("_salt")

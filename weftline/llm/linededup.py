@@ -71,7 +71,8 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, lead: int = LEAD, const
     token = split_join(forms, reached, ["leaf"], F.col("form")).select("leaf", "form", "d", "m", F.posexplode(F.split("line", " ")).alias("at", "token"))
     token = token.select("leaf", "form", "d", "m", "at", F.xxhash64("leaf", "at", "token").alias("key"), (F.col("token") != FIELD).alias("word"), F.col("token").rlike(r"\p{L}").alias("letter"))
     seen = token.filter("word").groupBy("key").agg(F.sum("d").alias("seen")).filter(F.col("seen") >= min_docs)
-    token = split_join(token, materialize(seen), ["key"], F.col("form"), "left")
+    # Constants grow with the corpus: joined by a shuffle at every size.
+    token = split_join(token, materialize(seen), ["key"], F.col("form"), "left", rows=0)
     steady = F.greatest(F.lit(min_docs), F.ceil(F.col("m") * F.lit(share)))
     token = token.select("leaf", "form", "at", "word", "letter", F.when(F.col("seen") >= min_docs, F.col("key")).alias("fine"), F.when(F.col("seen") >= steady, F.col("key")).alias("coarse"))
     has = lambda name: F.count_if(F.col("letter") & F.col(name).isNotNull()) > 0
