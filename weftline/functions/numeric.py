@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from .text import normalize_answer, number_token, strings, ws
+from .text import let, normalize_answer, number_token, strings, ws
 
 
 def evidence_weight(q: Column, method: str = "linear_cutoff") -> Column:
@@ -69,27 +69,38 @@ def plain_number(x: Column) -> Column:
     return F.when(x.rlike(r"^[-+]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][-+]?\d+)?$"), x.try_cast("double"))
 
 
-def numeric_value(x: Column) -> Column:
+def fraction(text: Column) -> Column:
     """Value of a normalised answer; a fraction by division, null by zero."""
-    text = normalize_answer(x)
-    top, bottom = F.split(text, "/").getItem(0), F.get(F.split(text, "/"), 1)
-    return F.when(text.contains("/"), F.try_divide(plain_number(top), plain_number(bottom))).otherwise(plain_number(text))
+    halves = lambda p: F.try_divide(plain_number(p[0]), plain_number(F.get(p, 1)))
+    return F.when(text.contains("/"), let(F.split(text, "/"), halves)).otherwise(plain_number(text))
+
+
+def numeric_value(x: Column) -> Column:
+    return let(normalize_answer(x), fraction)
 
 
 def close(a: Column, b: Column, tolerance: float) -> Column:
     return F.abs(a - b) <= F.greatest(F.lit(tolerance) * F.greatest(F.abs(a), F.abs(b)), F.lit(tolerance))
 
 
+def same_value(a: Column, b: Column, text_a: Column, text_b: Column) -> Column:
+    """Equality of two read answers: as numbers where both are, else as texts."""
+    return F.when(a.isNull() | b.isNull(), text_a == text_b).otherwise(close(a, b, 1e-7))
+
+
 def answers_equal(a: Column, b: Column) -> Column:
-    x, y = numeric_value(a), numeric_value(b)
-    return F.when(x.isNull() | y.isNull(), ws(a) == ws(b)).otherwise(close(x, y, 1e-7))
+    return let(F.struct(numeric_value(a).alias("a"), numeric_value(b).alias("b")), lambda v: same_value(v["a"], v["b"], ws(a), ws(b)))
 
 
 def is_correct(candidate: Column, reference: Column) -> Column:
     c, r = F.coalesce(candidate, F.lit("")), F.coalesce(reference, F.lit(""))
-    x, y = number_token(c), number_token(r)
-    numeric = F.when((x == "") | (y == ""), F.lit(False)).when(plain_number(x).isNull() | plain_number(y).isNull(), x == y).otherwise(close(plain_number(x), plain_number(y), 1e-6))
-    return (c != "") & (r != "") & (numeric | (x == y) | (F.lower(F.trim(c)) == F.lower(F.trim(r))))
+
+    def equal(v):
+        a, b = plain_number(v["x"]), plain_number(v["y"])
+        return F.when((v["x"] == "") | (v["y"] == ""), F.lit(False)).when(a.isNull() | b.isNull(), F.lit(False)).otherwise(close(a, b, 1e-6)) | (v["x"] == v["y"])
+
+    read = F.struct(number_token(c).alias("x"), number_token(r).alias("y"))
+    return (c != "") & (r != "") & (let(read, equal) | (F.lower(F.trim(c)) == F.lower(F.trim(r))))
 
 
 def clamp_score(v: Column, unreadable: int = 1, unit_scale: bool = False) -> Column:

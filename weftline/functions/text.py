@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import constants as C
 
 
+def let(value: Column, f) -> Column:
+    """``f(value)`` with the value computed once, however often ``f`` names it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def strings(values) -> Column:
     return F.array(*map(F.lit, values))
 
@@ -40,8 +49,8 @@ def keyword_set(x: Column) -> Column:
 
 
 def is_content(t: Column) -> Column:
-    banned = strings(sorted({*C.STOPWORDS, *C.QUESTION_WORDS, *C.ACTION_WORDS, *C.UNIT_WORDS}))
-    return ~F.array_contains(banned, F.lower(t)) & (F.length(t) > 2)
+    banned = sorted({*C.STOPWORDS, *C.QUESTION_WORDS, *C.ACTION_WORDS, *C.UNIT_WORDS})
+    return (F.length(t) > 2) & ~F.lower(t).isin(banned)
 
 
 def distinct_by_lower(a: Column) -> Column:
@@ -52,9 +61,9 @@ def distinct_by_lower(a: Column) -> Column:
 def persons(question: Column, limit: int = 12) -> Column:
     """Capitalised words, then capitalised phrases, whose first word is no list word."""
     found = F.transform(F.concat(find_all(question, C.CAPITAL_NAME, 1), find_all(question, C.CAPITAL_PHRASE, 0)), ws)
-    skip = strings(sorted({*C.STOPWORDS, *C.QUESTION_WORDS, *C.ACTION_WORDS}))
+    skip = sorted({*C.STOPWORDS, *C.QUESTION_WORDS, *C.ACTION_WORDS})
     base = lambda p: F.lower(F.regexp_replace(F.element_at(F.split(p, " "), 1), "['’]s", ""))
-    return F.slice(distinct_by_lower(F.filter(found, lambda p: (p != "") & ~F.array_contains(skip, base(p)))), 1, limit)
+    return F.slice(distinct_by_lower(F.filter(found, lambda p: (p != "") & ~base(p).isin(skip))), 1, limit)
 
 
 def ngrams(tokens: Column, n: int) -> Column:
@@ -86,13 +95,25 @@ def focus_runs(tokens: Column) -> Column:
 
 
 def focus_terms(question: Column, limit: int = 18) -> Column:
-    tokens = word_tokens(question)
-    return F.slice(F.array_distinct(F.concat(focus_runs(tokens), ngrams(tokens, 2), ngrams(tokens, 3))), 1, limit)
+    found = lambda tokens: F.array_distinct(F.concat(focus_runs(tokens), ngrams(tokens, 2), ngrams(tokens, 3)))
+    return F.slice(let(word_tokens(question), found), 1, limit)
+
+
+def stem(pattern: str) -> str:
+    """What every match of a pattern of one word (with or without its last letters) begins with."""
+    return re.sub(r"\\b|\\|\w\?", "", pattern)
 
 
 def units(x: Column) -> Column:
     """Unit words, by pattern order, then by place."""
-    return F.array_distinct(F.concat(*(find_all(F.lower(x), p) for p in C.UNIT_PATTERNS)))
+    none = F.array().cast("array<string>")
+    return let(F.lower(x), lambda t: F.array_distinct(F.concat(*(F.when(F.contains(t, F.lit(stem(p))), find_all(t, p)).otherwise(none) for p in C.UNIT_PATTERNS))))
+
+
+def any_of(t: Column, pattern: str) -> Column:
+    """Whether one of the pattern's words and signs is found; an expression is only run where its letters are there."""
+    holds = lambda p: F.contains(t, F.lit(stem(p))) & (t.rlike(p) if "b" in re.findall(r"\\(.)", p) else F.lit(True))
+    return reduce(or_, map(holds, pattern.split("|")))
 
 
 def mask_numbers(x: Column) -> Column:
@@ -107,8 +128,8 @@ def mask_entities(x: Column, entities: Column, token: str) -> Column:
 
 def operation_tags(question: Column, solution: Column) -> Column:
     text = F.lower(F.concat_ws("\n", F.coalesce(question, F.lit("")), F.coalesce(solution, F.lit(""))))
-    tags = F.array_compact(F.array(*(F.when(text.rlike(p), F.lit(t)) for t, p in C.OPERATION_RULES)))
-    return F.when(F.size(tags) > 0, tags).otherwise(strings(["general_arithmetic"]))
+    found = lambda t: F.array_compact(F.array(*(F.when(any_of(t, p), F.lit(n)) for n, p in C.OPERATION_RULES)))
+    return let(let(text, found), lambda tags: F.when(F.size(tags) > 0, tags).otherwise(strings(["general_arithmetic"])))
 
 
 def calculation_steps(solution: Column) -> Column:
@@ -121,8 +142,7 @@ def operation_sequence(steps: Column, tags: Column) -> Column:
         e = F.lower(s["expression"])
         return F.array_compact(F.array(*(F.when(e.contains(m) | (e.contains("percent") if t == "percentage" else F.lit(False)), F.lit(t)) for t, m in C.SEQUENCE_MARKS)))
 
-    found = F.flatten(F.transform(steps, marks))
-    return F.when(F.size(found) > 0, found).otherwise(tags)
+    return let(F.flatten(F.transform(steps, marks)), lambda found: F.when(F.size(found) > 0, found).otherwise(tags))
 
 
 def signature(tags: Column, sequence: Column) -> Column:
@@ -171,8 +191,8 @@ def number_token(x: Column) -> Column:
 
 def normalize_answer(x: Column) -> Column:
     """The numeric text, or the last numeric token, or nothing."""
-    text = F.translate(ws(x), ",$", "")
-    return F.when(text.rlike(f"^(?:{C.NUMERIC})$"), text).otherwise(F.coalesce(F.try_element_at(find_all(text, C.NUMERIC), F.lit(-1)), F.lit("")))
+    read = lambda t: F.when(t.rlike(f"^(?:{C.NUMERIC})$"), t).otherwise(F.coalesce(F.try_element_at(find_all(t, C.NUMERIC), F.lit(-1)), F.lit("")))
+    return let(F.translate(ws(x), ",$", ""), read)
 
 
 def export_answer(x: Column) -> Column:
@@ -215,28 +235,30 @@ def sentences(x: Column) -> Column:
 
 
 def repetition(x: Column) -> Column:
-    s = sentences(x)
-    return F.when(F.size(s) == 0, F.lit(0e0)).otherwise(1 - F.size(F.array_distinct(s)) / F.size(s))
+    return let(sentences(x), lambda s: F.when(F.size(s) == 0, F.lit(0e0)).otherwise(1 - F.size(F.array_distinct(s)) / F.size(s)))
 
 
 def explanatory_step(text: Column, index: Column, total: Column) -> Column:
     """A "Calculate X: ..." step as a sentence with its purpose; other steps without their label."""
-    content = strip_label(text)
-    goal, work = lower_first(F.trim(F.regexp_extract(content, C.CALCULATE_PREFIX, 1))), F.trim(F.regexp_extract(content, C.CALCULATE_PREFIX, 2))
     last = (total > 1) & (index == total)
     connector = F.when(last, "Finally").otherwise(F.coalesce(F.try_element_at(strings(C.CONNECTORS), index), F.lit("Then")))
-    first, end, middle = (F.format_string(form, connector, goal, work) for form in (C.EXPLAIN_FIRST, C.EXPLAIN_LAST, C.EXPLAIN_MIDDLE))
-    return F.when(~content.rlike(C.CALCULATE_PREFIX), content).when(index == 1, first).when(last, end).otherwise(middle)
+
+    def told(content):
+        goal, work = lower_first(F.trim(F.regexp_extract(content, C.CALCULATE_PREFIX, 1))), F.trim(F.regexp_extract(content, C.CALCULATE_PREFIX, 2))
+        first, end, middle = (F.format_string(form, connector, goal, work) for form in (C.EXPLAIN_FIRST, C.EXPLAIN_LAST, C.EXPLAIN_MIDDLE))
+        return F.when(~content.rlike(C.CALCULATE_PREFIX), content).when(index == 1, first).when(last, end).otherwise(middle)
+
+    return let(strip_label(text), told)
 
 
 def training_steps(steps: Column) -> Column:
     """Numbered steps; numbers count all steps, the total only those with text."""
-    total = F.size(clean_steps(steps))
-    numbered = F.transform(steps, lambda s, i: F.when(ws(s) != "", F.concat(F.lit("Step "), (i + 1).cast("string"), F.lit(": "), explanatory_step(ws(s), (i + 1).cast("int"), total))))
-    return F.array_compact(numbered)
+    one = lambda s, i, total: F.when(s != "", F.concat(F.lit("Step "), (i + 1).cast("string"), F.lit(": "), explanatory_step(s, (i + 1).cast("int"), total)))
+    numbered = lambda clean: let(F.size(F.filter(clean, lambda s: s != "")), lambda total: F.transform(clean, lambda s, i: one(s, i, total)))
+    return F.array_compact(let(F.transform(steps, ws), numbered))
 
 
 def solution_text(steps: Column, solution: Column, answer: Column) -> Column:
     final = F.format_string(C.CLOSING, answer)
     body = F.rtrim(F.when(F.size(steps) > 0, F.array_join(training_steps(steps), "\n")).otherwise(ws(solution)))
-    return F.when(body == "", final).when(F.endswith(body, final), body).otherwise(F.concat(body, F.lit("\n"), final))
+    return let(body, lambda b: F.when(b == "", final).when(F.endswith(b, final), b).otherwise(F.concat(b, F.lit("\n"), final)))

@@ -67,31 +67,48 @@ def precheck(candidates: DataFrame, limits: Limits = Limits()) -> DataFrame:
     return d.withColumn("passed", F.size("issues") == 0).drop("_text")
 
 
-def vote_summary(votes: Column) -> Column:
-    """Summary of array<struct<solvable, unique_answer, answer, confidence>>, in vote order.
+def vote_summary(votes: Column, with_steps: bool = False) -> Column:
+    """Summary of array<struct<solvable, unique_answer, answer, confidence[, steps]>>, in vote order.
 
     Equality of answers is tolerant and not transitive, so answers join the first
-    group whose head they equal; groups are folded over the votes of one item.
+    group whose head they equal; groups are folded over the votes of one item.  Each
+    answer is read once.  The steps are those of the consensus' first most confident vote.
     """
-    usable = F.filter(votes, lambda v: F.coalesce(v["solvable"], F.lit(False)) & F.coalesce(v["unique_answer"], F.lit(False)) & (F.coalesce(v["answer"], F.lit("")) != ""))
-    item = lambda v: F.struct(v["answer"].alias("answer"), F.coalesce(v["confidence"], F.lit(0e0)).alias("confidence"))
-    empty = F.array().cast("array<array<struct<answer:string,confidence:double>>>")
+    none = F.array().cast("array<string>")
+    yes = lambda v, name: F.coalesce(v[name], F.lit(False))
+
+    def read(v):
+        answer = F.coalesce(v["answer"], F.lit(""))
+        steps = F.coalesce(v["steps"], none) if with_steps else none
+        return F.struct(
+            answer.alias("answer"), T.ws(answer).alias("text"), N.numeric_value(answer).alias("value"), F.coalesce(v["confidence"], F.lit(0e0)).alias("confidence"), steps.alias("steps"),
+            (yes(v, "solvable") & yes(v, "unique_answer") & (answer != "")).alias("usable"),
+        )
+
+    group = lambda head, n, best: F.struct(head.alias("head"), n.alias("n"), best.alias("best"))
 
     def join(groups, v):
-        at = F.array_position(F.transform(groups, lambda g: N.answers_equal(g[0]["answer"], v["answer"])), True)
-        grown = F.transform(groups, lambda g, i: F.when(i + 1 == at, F.concat(g, F.array(item(v)))).otherwise(g))
-        return F.when(at > 0, grown).otherwise(F.concat(groups, F.array(F.array(item(v)))))
-
-    groups = F.aggregate(usable, empty, join)
-    most = F.coalesce(F.array_max(F.transform(groups, F.size)), F.lit(0))
-    top = F.try_element_at(F.filter(groups, lambda g: (F.size(g) == most) & (F.size(g) >= 2)), F.lit(1))
-    count = lambda name: F.size(F.filter(votes, lambda v: F.coalesce(v[name], F.lit(False))))
-    total = F.aggregate(votes, F.lit(0e0), lambda a, v: a + F.coalesce(v["confidence"], F.lit(0e0)))
-    return F.struct(
-        F.size(votes).alias("vote_count"), count("solvable").alias("solvable_votes"), count("unique_answer").alias("unique_answer_votes"), top.isNotNull().alias("consensus"),
-        F.when(top.isNotNull(), F.size(top)).otherwise(0).alias("consensus_count"),
-        F.coalesce(top[0]["answer"], F.lit("")).alias("consensus_answer"), F.round(total / F.greatest(F.size(votes), F.lit(1)), 4).alias("average_confidence"),
-    )
+        same = F.transform(groups, lambda g: N.same_value(g["head"]["value"], v["value"], g["head"]["text"], v["text"]))
+        grown = lambda g: group(g["head"], g["n"] + 1, F.when(v["confidence"] > g["best"]["confidence"], v).otherwise(g["best"]))
+        return T.let(F.array_position(same, True), lambda at: F.when(at > 0, F.transform(groups, lambda g, i: F.when(i + 1 == at, grown(g)).otherwise(g))).otherwise(F.concat(groups, F.array(group(v, F.lit(1), v)))))
+
+    item = "struct<answer:string,text:string,value:double,confidence:double,steps:array<string>,usable:boolean>"
+    empty = F.array().cast(f"array<struct<head:{item},n:int,best:{item}>>")
+    largest = lambda groups: F.try_element_at(F.filter(groups, lambda g: (g["n"] >= 2) & (g["n"] == F.array_max(F.transform(groups, lambda o: o["n"])))), F.lit(1))
+
+    def told(items, top):
+        return F.struct(
+            F.size(items).alias("vote_count"), F.size(F.filter(votes, lambda v: yes(v, "solvable"))).alias("solvable_votes"), F.size(F.filter(votes, lambda v: yes(v, "unique_answer"))).alias("unique_answer_votes"),
+            top.isNotNull().alias("consensus"), F.coalesce(top["n"], F.lit(0)).alias("consensus_count"), F.coalesce(top["head"]["answer"], F.lit("")).alias("consensus_answer"),
+            F.coalesce(top["best"]["steps"], none).alias("representative_steps"), F.transform(items, lambda v: v["answer"]).alias("answers"),
+            F.round(F.aggregate(items, F.lit(0e0), lambda a, v: a + v["confidence"]) / F.greatest(F.size(items), F.lit(1)), 4).alias("average_confidence"),
+        )
+
+    def summary(items):
+        groups = F.aggregate(F.filter(items, lambda v: v["usable"]), empty, join)
+        return T.let(T.let(groups, largest), lambda top: told(items, top))
+
+    return T.let(F.transform(votes, read), summary)
 
 
 def needs_tiebreak(votes: Column) -> Column:
