@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,12 @@ from .operators import planning as P
 from .operators import quota as Q
 from .operators import review as R
 from .operators import validate as V
+from .plans import assess as AS
+from .plans import legacy as LE
+from .plans import rounds as RO
+from .plans.backend import StubBackend
+from .session import drop_at_exit, shared_folder
+from .sources.store import Folder
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -348,33 +356,66 @@ def solution_split(spark, d):
     return x.select("task_id", F.md5("x.solution").alias("solution"), F.col("x.answer").alias("answer"), F.col("x.schema").alias("source_schema"))
 
 
-@query(f"WITH {SEED} SELECT 'unit' kind, u term, count(*) AS cnt, min(task_id) first_id, count(DISTINCT question_type) n_types FROM (SELECT task_id, question_type, unnest({_UNITS}) u FROM seed) GROUP BY u")
+@query(f"""WITH {SEED}, u AS (SELECT *, unnest({_UNITS}) term FROM seed) SELECT 'unit' kind, term, count(*) AS cnt, min(task_id) first_id, count(DISTINCT question_type) n_types, least(3, count(*)) n_examples FROM u GROUP BY term""")
 def concept_bank(spark, d):
     b = K.concept_bank(known(spark, d)).filter("kind = 'unit'")
-    return b.select("kind", "term", F.col("count").alias("cnt"), F.array_min("task_ids").alias("first_id"), F.size(F.array_distinct("question_types")).cast("long").alias("n_types"))
+    return b.select("kind", "term", F.col("count").alias("cnt"), F.col("first_task_id").alias("first_id"), F.size("question_types").cast("long").alias("n_types"), F.size("examples").cast("long").alias("n_examples"))
 
 
 @query()
 def concept_bank_all_kinds(spark, d):
     """The whole bank; the SQL text of concept_bank has the units only, as SQL can't find persons and focus terms."""
     b = K.concept_bank(known(spark, d))
-    return b.select("kind", "term", F.col("count").alias("cnt"), F.array_min("task_ids").alias("first_id"), F.size(F.array_distinct("question_types")).cast("long").alias("n_types"))
+    return b.select("kind", "term", F.col("count").alias("cnt"), F.col("first_task_id").alias("first_id"), F.size("question_types").cast("long").alias("n_types"), F.md5(F.array_join("examples", "|")).alias("examples"))
+
+
+@query(f"WITH {SEED} SELECT task_id, question_type, term FROM (SELECT task_id, question_type, unnest({_UNITS}) term FROM seed)")
+def concept_links(spark, d):
+    """Occurrences of units."""
+    return K.concept_links(known(spark, d)).filter("kind = 'unit'").select("task_id", "question_type", "term")
+
 
+_SCENE = f"(SELECT *, CASE k % 4 WHEN 2 THEN replace(m, 'April Aunt ' || name, '<PERSON> <PERSON> <PERSON>') WHEN 3 THEN replace(m, name || '''s', '<PERSON>') ELSE replace(m, name, '<PERSON>') END scene FROM (SELECT *, {_MASK} m, lower(question || chr(10) || solution) s FROM seed))"
+_BUCKET_OF = _DIFF.replace("v <=", f"{_DIFFV} <=")
 
-@query(f"""WITH {SEED} SELECT lower(scene) key, count(*) cnt, round(avg(len(regexp_extract_all(solution, '<<'))), 3) avg_step_count, array_to_string(list_sort(list_distinct(list(question_type))), ',') question_types
- FROM (SELECT *, CASE k % 4 WHEN 2 THEN replace(m, 'April Aunt ' || name, '<PERSON> <PERSON> <PERSON>') WHEN 3 THEN replace(m, name || '''s', '<PERSON>') ELSE replace(m, name, '<PERSON>') END scene FROM (SELECT *, {_MASK} m FROM seed)) GROUP BY 1""")
+
+@query(f"""WITH {SEED}, x AS (SELECT *, {_TAGS} tags, {_BUCKET_OF} bucket FROM {_SCENE}) SELECT lower(scene) key, count(*) cnt, round(avg(len(regexp_extract_all(solution, '<<'))), 3) avg_step_count, array_to_string(list_sort(list_distinct(list(question_type))), ',') question_types,
+ array_to_string(list_sort(list_distinct(flatten(list(tags)))), ',') skill_tags, array_to_string(list_sort(list_distinct(list(bucket))), ',') buckets, array_to_string(list(task_id ORDER BY ord)[1:3], ',') examples, arg_min(m, ord) surface_template FROM x GROUP BY 1""")
 def scene_bank(spark, d):
-    return K.scene_bank(known(spark, d)).select("key", F.col("count").alias("cnt"), "avg_step_count", F.array_join("question_types", ",").alias("question_types"))
+    b = K.scene_bank(known(spark, d))
+    joined = lambda c: F.array_join(c, ",")
+    return b.select("key", F.col("count").alias("cnt"), "avg_step_count", joined("question_types").alias("question_types"), joined("skill_tags").alias("skill_tags"), joined("difficulty_buckets").alias("buckets"), joined(F.col("examples.task_id")).alias("examples"), "surface_template")
 
 
-@query(f"WITH {SEED} SELECT lower({_MASK}) key, count(*) cnt, array_to_string(list_sort(list_distinct(list({_DIFF.replace('v <=', f'{_DIFFV} <=')}))), ',') buckets FROM seed GROUP BY 1")
+@query(f"""WITH {SEED}, x AS (SELECT *, {_BUCKET_OF} bucket FROM {_SCENE}) SELECT lower(m) key, count(*) cnt, array_to_string(list_sort(list_distinct(list(bucket))), ',') buckets, array_to_string(list_sort(list_distinct(list(question_type))), ',') question_types,
+ least(3, count(*)) n_examples, arg_min(scene, ord) scene_template FROM x GROUP BY 1""")
 def template_bank(spark, d):
-    return K.template_bank(known(spark, d)).select("key", F.col("count").alias("cnt"), F.array_join("difficulty_buckets", ",").alias("buckets"))
+    b = K.template_bank(known(spark, d))
+    return b.select("key", F.col("count").alias("cnt"), F.array_join("difficulty_buckets", ",").alias("buckets"), F.array_join("question_types", ",").alias("question_types"), F.size("examples").cast("long").alias("n_examples"), "scene_template")
 
 
-@query(f"WITH {SEED} SELECT knowledge_signature, count(*) cnt, round(avg(1 + (k % 2 = 0)::INT), 3) avg_step_count FROM (SELECT k, {_SIG} knowledge_signature FROM (SELECT k, lower(question || chr(10) || solution) s FROM seed)) GROUP BY 1")
+@query(f"""WITH {SEED}, x AS (SELECT *, {_SIG} sig, {_TAGS} tags, {_BUCKET_OF} bucket FROM {_SCENE}) SELECT sig knowledge_signature, count(*) cnt, round(avg(1 + (k % 2 = 0)::INT), 3) avg_step_count, array_to_string(arg_min(tags, ord), ',') skill_tags,
+ arg_min(CASE WHEN k % 2 = 0 THEN 'multiplication,addition' ELSE 'multiplication' END, ord) operation_sequence, arg_min(bucket, ord) difficulty_bucket, array_to_string(list_sort(list_distinct(list(question_type))), ',') question_types,
+ array_to_string(list(task_id ORDER BY ord)[1:3], ',') examples FROM x GROUP BY 1""")
 def knowledge_bank(spark, d):
-    return K.knowledge_bank(known(spark, d)).select("knowledge_signature", F.col("count").alias("cnt"), "avg_step_count")
+    joined = lambda c: F.array_join(c, ",")
+    return K.knowledge_bank(known(spark, d)).select(
+        "knowledge_signature", F.col("count").alias("cnt"), "avg_step_count", joined("skill_tags").alias("skill_tags"), joined("operation_sequence").alias("operation_sequence"), "difficulty_bucket", joined("question_types").alias("question_types"),
+        joined(F.col("examples.task_id")).alias("examples"),
+    )
+
+
+@query(f"WITH {SEED} SELECT {_SIG} AS key, task_id, CASE WHEN k % 2 = 0 THEN 'multiplication,addition' ELSE 'multiplication' END operation_sequence FROM (SELECT *, lower(question || chr(10) || solution) s FROM seed)")
+def knowledge_links(spark, d):
+    return K.bank_links(known(spark, d), F.col("knowledge_signature")).select("key", "task_id", F.array_join("operation_sequence", ",").alias("operation_sequence"))
+
+
+@query(f"""WITH {SEED}, b AS (SELECT {_SIG} knowledge_signature, count(*) cnt FROM (SELECT *, lower(question || chr(10) || solution) s FROM seed) GROUP BY 1)
+SELECT knowledge_signature, row_number() OVER (ORDER BY cnt DESC, knowledge_signature)::INT AS place FROM b""")
+def bank_order(spark, d):
+    """The order of a bank (a bank of a few signatures)."""
+    listed = K.knowledge_bank(known(spark, d)).agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("n"), "knowledge_signature"))), lambda s: s["knowledge_signature"]).alias("l"))
+    return listed.select(F.posexplode("l").alias("p", "knowledge_signature")).select("knowledge_signature", (F.col("p") + 1).cast("int").alias("place"))
 
 
 @query(f"WITH {SEED} SELECT kind, size FROM (SELECT 'unit' kind, count(DISTINCT u) size FROM (SELECT unnest({_UNITS}) u FROM seed))")
@@ -426,9 +467,10 @@ def answer_correctness(spark, d):
     return decorated(spark, d).select("task_id", N.is_correct(F.col("shown"), F.col("fin").cast("string")).alias("correct"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN v <= 1 THEN round(floor(v * 5 + 0.5e0 - 1e-9) / 5, 1) ELSE NULL END score FROM (SELECT *, round(l_discount * 10, 2) v FROM lineitem) WHERE v <= 1")
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, round(floor(CASE WHEN v <= 1 THEN v WHEN v <= 5 THEN round_even((v - 1) / 4, 1) ELSE 0 END * 5 + 0.5e0 - 1e-9) / 5, 1) score
+FROM (SELECT *, round(l_discount * 10 + l_linenumber - 1, 2) v FROM lineitem)""")
 def step_score_snap(spark, d):
-    x = t(spark, d, "lineitem").withColumn("v", F.round(F.col("l_discount") * 10, 2)).filter("v <= 1")
+    x = t(spark, d, "lineitem").withColumn("v", F.round(F.col("l_discount") * 10 + F.col("l_linenumber") - 1, 2))
     return x.select("l_orderkey", "l_linenumber", "l_partkey", F.round(N.snap_score(F.col("v")), 1).alias("score"))
 
 
@@ -546,21 +588,16 @@ def heuristic_eval(spark, d):
     return R.heuristic_scores(reviewed(spark, d)).select("task_id", "correctness", "difficulty_match", "brevity", "answer_quality")
 
 
-@query(f"""WITH {SEED} SELECT task_id, round((CASE WHEN k % 4 = 3 THEN 4 ELSE 4 END + 1 + 0 - 1) / 4e0, 3) first_score FROM seed WHERE len(string_split(name || ' computes ' || q || ' * ' || p || ' = ' || r, ' ')) >= 3 AND NOT contains(lower(replace(name || ' computes ' || q || ' * ' || p || ' = ' || r, ' ', '')), fin::VARCHAR)""")
+@query(f"""WITH {SEED}, x AS (SELECT rid, task_id, fin::VARCHAR ref, unnest([name || ' computes ' || q || ' * ' || p || ' = ' || r, 'Done', p::VARCHAR, fin::VARCHAR]) step, unnest([1, 2, 3, 4]) nth FROM (SELECT row_number() OVER () rid, * FROM seed)),
+y AS (SELECT *, len(string_split(step, ' ')) words, contains(replace(replace(lower(step), ' ', ''), ',', ''), ref)::INT hit, regexp_matches(step, '[0-9]')::INT digits FROM x)
+SELECT task_id, array_to_string(list(round((least(5, CASE WHEN words >= 3 THEN 4 ELSE 3 END + digits + hit) - 1) / 4e0, 3) ORDER BY nth), ',') scores, array_to_string(list(round((least(5, greatest(1, 6 - greatest(1, words // 6))) - 1) / 4e0, 3) ORDER BY nth), ',') efficiencies
+FROM y GROUP BY rid, task_id""")
 def fallback_step_scores(spark, d):
-    x = seeds(spark, d)
-    step = text(F.col("name"), " computes ", F.col("q").cast("string"), " * ", F.col("p").cast("string"), " = ", F.col("r").cast("string"))
-    x = x.withColumn("s", R.fallback_step_scores(F.array(step), F.col("fin").cast("string")))
-    return x.filter(~F.contains(T.number_token(step), F.col("fin").cast("string"))).select("task_id", F.round(F.col("s")[0]["score"], 3).alias("first_score"))
-
-
-@query()
-def fallback_step_scores_all_rows(spark, d):
-    """All rows and steps of each branch; the SQL text of fallback_step_scores leaves out the steps that hold the answer."""
     x = seeds(spark, d)
     step = text(F.col("name"), " computes ", F.col("q").cast("string"), " * ", F.col("p").cast("string"), " = ", F.col("r").cast("string"))
     x = x.withColumn("s", R.fallback_step_scores(F.array(step, F.lit("Done"), F.col("p").cast("string"), F.col("fin").cast("string")), F.col("fin").cast("string")))
-    return x.select("task_id", F.transform("s", lambda v: F.round(v["score"], 3)).alias("scores"), F.transform("s", lambda v: F.round(v["efficiency"], 3)).alias("efficiencies"))
+    listed = lambda name: F.array_join(F.transform("s", lambda v: F.round(v[name], 3).cast("string")), ",")
+    return x.select("task_id", listed("score").alias("scores"), listed("efficiency").alias("efficiencies"))
 
 
 @query(f"""WITH {SEED} SELECT task_id, question AS input, 'Step 1: First, use the given information to find product; this gives the first quantity needed for the rest of the solution: ' || q || '*' || p || '=' || r || chr(10) ||
@@ -738,3 +775,290 @@ def plan_rows(spark, d):
     kb = _part_kb(spark, d).select("ord", "task_id", F.col("skills").alias("skill_tags"), F.col("ops").alias("operation_sequence"), F.col("bucket").alias("difficulty_bucket"), F.array(F.lit("Anna's")).alias("persons"), F.col("ops").alias("focus_terms"), F.array().cast("array<string>").alias("units"))
     quotas = t(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("task_id"), F.lit(4).alias("target_count"), F.lit("Equal").alias("target_difficulty"), F.lit("medium").alias("target_difficulty_bucket"))
     return P.plan_rows(quotas, kb, {"unit": T.strings(["books", "cups"])})
+
+
+# -- stages around the stub backend -----------------------------------------------------------------------------------
+
+
+def folder(spark) -> Folder:
+    """A new folder for a stage's files, gone at the driver's end."""
+    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    drop_at_exit(spark, path)
+    return Folder(spark, path)
+
+
+def bags(spark, d) -> DataFrame:
+    """Word problems for the stub: a bags of b eggs, for each customer."""
+    c = t(spark, d, "customer").select("c_custkey", (F.col("c_custkey") % 9 + 2).alias("a"), (F.col("c_custkey") % 7 + 2).alias("b"), "c_mktsegment")
+    s = lambda x: F.col(x).cast("string")
+    return c.withColumns({"ord": F.col("c_custkey"), "task_id": s("c_custkey"), "question": text("There are ", s("a"), " bags of ", s("b"), " eggs. How many eggs?"), "product": F.col("a") * F.col("b")})
+
+
+BAGS = "bags AS (SELECT *, c_custkey::VARCHAR task_id, 'There are ' || a || ' bags of ' || b || ' eggs. How many eggs?' question, a * b product, (a + b) % 3 = 0 AS stumbles FROM (SELECT c_custkey, c_custkey % 9 + 2 a, c_custkey % 7 + 2 b, c_mktsegment FROM customer))"
+
+
+@query(f"WITH {BAGS} SELECT task_id || '_' || n task_id, n::INT attempt_index, a || ' * ' || b || ' = ' || product steps, product::VARCHAR final_answer, c_custkey % 5 > 0 is_correct FROM bags, range(2) r(n)")
+def answer_stage(spark, d):
+    """Two answers per seed; the reference is wrong for every fifth."""
+    seeds_ = bags(spark, d).withColumn("answer", (F.col("product") + (F.col("c_custkey") % 5 == 0).cast("int")).cast("string"))
+    out = AS.answer(seeds_.select("ord", "task_id", "question", "answer"), StubBackend(), folder(spark), attempts=2)
+    return out.select("task_id", "attempt_index", F.array_join("steps", "|").alias("steps"), "final_answer", "is_correct")
+
+
+def answered(spark, d) -> DataFrame:
+    """Three answers per seed: two alike and one without steps."""
+    b = bags(spark, d).withColumn("attempt_index", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    steps = F.when(F.col("attempt_index") < 2, F.array(text(F.col("a").cast("string"), " * ", F.col("b").cast("string")), F.lit("done"))).otherwise(F.array().cast("array<string>"))
+    p = F.col("product").cast("string")
+    return b.select(F.concat_ws("_", "task_id", F.col("attempt_index").cast("string")).alias("task_id"), F.col("task_id").alias("source_task_id"), "attempt_index", "question", p.alias("reference_answer"), steps.alias("steps"), p.alias("final_answer"), p.alias("extracted_answer"), F.lit(True).alias("is_correct"))
+
+
+@query(f"""WITH {BAGS} SELECT task_id || '_' || n task_id, CASE WHEN n < 2 THEN 2 ELSE 1 END step_count, CASE WHEN n < 2 THEN 1e0 ELSE 0.72 END step_score_mean, CASE WHEN n < 2 THEN 2e0 ELSE 0.72 END step_score_sum, true final_answer_correct,
+ CASE WHEN n < 2 THEN '' ELSE 'heuristic_fallback_no_steps' END overall_reason FROM bags, range(3) r(n)""")
+def score_stage(spark, d):
+    return AS.score(answered(spark, d), StubBackend(), folder(spark)).select("task_id", "step_count", "step_score_mean", "step_score_sum", "final_answer_correct", "overall_reason")
+
+
+@query(f"WITH {BAGS} SELECT task_id || '_' || n task_id, CASE WHEN stumbles OR n = 2 THEN 'heuristic' ELSE 'model' END scored_by, CASE WHEN n = 2 THEN '0.72' WHEN stumbles THEN '1.6' ELSE '2.0' END total FROM bags, range(3) r(n)")
+def score_stage_without_retries(spark, d):
+    """What one try can't score gets the heuristic report."""
+    r = AS.score(answered(spark, d), StubBackend(), folder(spark), max_retries=0)
+    return r.select("task_id", F.when(F.col("overall_reason") == "", "model").otherwise("heuristic").alias("scored_by"), F.col("step_score_sum").cast("string").alias("total"))
+
+
+@query("""SELECT c_custkey task_id, coalesce(nullif(trim(CASE WHEN c_custkey % 4 > 0 THEN c_mktsegment END), ''), 'unknown') category, CASE WHEN c_custkey % 3 > 0 THEN 'q' || c_custkey END question FROM customer""")
+def mastery_with_sources(spark, d):
+    c = t(spark, d, "customer")
+    sources = c.filter("c_custkey % 3 > 0 OR c_custkey % 4 > 0").select(F.col("c_custkey").alias("task_id"), F.col("c_custkey").alias("ord"), F.when(F.col("c_custkey") % 3 > 0, text("q", F.col("c_custkey").cast("string"))).alias("question"), F.when(F.col("c_custkey") % 4 > 0, F.col("c_mktsegment")).alias("question_type"))
+    return AS.with_sources(c.select(F.col("c_custkey").alias("task_id")), sources).select("task_id", "category", "question")
+
+
+def planned(spark, d) -> DataFrame:
+    """One plan per seed, about a library's books and shelves; every eleventh seed's plan is about nothing that its question shows."""
+    scene = lambda domain: F.element_at(F.filter(P.domain_array(), lambda x: x["domain"] == domain), 1)
+    word = lambda w: F.array(F.lit(w))
+    none = F.array().cast("array<string>")
+    inspired = F.struct(F.when(F.col("c_custkey") % 11 == 0, word("piano")).otherwise(word("eggs")).alias("scene_keywords"), none.alias("possible_roles"), none.alias("possible_units"), none.alias("related_skill_tags"), F.lit("").alias("policy"))
+    math = F.struct(word("multiplication").alias("skill_tags"), word("multiplication").alias("operation_sequence"), F.lit("multiplication").alias("knowledge_signature"), F.lit(1).alias("reference_step_count"), F.lit("Equal").alias("target_difficulty"))
+    first = P.diversity(F.col("task_id"), F.lit(0)).withField("primary_scene", scene("community_library")).withField("alternative_scenes", F.array(scene("bakery")))
+    return bags(spark, d).select("ord", F.col("task_id").alias("source_task_id"), F.concat_ws("_", "task_id", F.lit("0")).alias("plan_id"), F.struct(math.alias("math"), first.alias("diversity"), inspired.alias("kb_inspiration")).alias("knowledge"))
+
+
+def mastered(spark, d) -> DataFrame:
+    return bags(spark, d).select("task_id", F.when(F.col("c_custkey") % 13 > 0, "Equal").alias("target_difficulty"), "question")
+
+
+@query(f"WITH {BAGS} SELECT task_id || '_0' plan_id, product::VARCHAR answer, 1 + stumbles::INT attempts FROM bags WHERE c_custkey % 11 > 0")
+def generate_stage(spark, d):
+    good, _ = RO.generate(planned(spark, d), mastered(spark, d), StubBackend(), folder(spark), max_retries=1)
+    return good.select("plan_id", "answer", "attempts")
+
+
+@query(f"WITH {BAGS} SELECT task_id || '_0' plan_id, 'plan_mismatch' failure_type, 2 attempts, 'question does not reflect the assigned plan scene or inspiration keywords' error FROM bags WHERE c_custkey % 11 = 0")
+def generate_stage_failures(spark, d):
+    _, bad = RO.generate(planned(spark, d), mastered(spark, d), StubBackend(), folder(spark), max_retries=1)
+    return bad.select("plan_id", "failure_type", "attempts", "error")
+
+
+def offered(spark, d) -> DataFrame:
+    """Candidates: right ones; wrong answers (every third); questions that no repair makes single (every seventh)."""
+    k, s = F.col("c_custkey"), F.col("product")
+    answer = F.when(k % 3 == 0, s + 1).otherwise(s).cast("string")
+    question = F.when(k % 7 == 0, F.concat("question", F.lit(" And how many bags?"))).otherwise(F.col("question"))
+    return bags(spark, d).select(F.col("task_id").alias("source_task_id"), F.concat_ws("_", "task_id", F.lit("0")).alias("plan_id"), F.lit("Equal").alias("difficulty"), question.alias("question"), F.array(F.concat_ws(" ", F.lit("So it is"), answer)).alias("steps"), answer.alias("answer"))
+
+
+@query(f"WITH {BAGS} SELECT task_id || '_0' plan_id, CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS round, product::VARCHAR answer FROM bags WHERE c_custkey % 7 > 0")
+def validate_stage(spark, d):
+    good, _, _ = RO.validate(offered(spark, d), StubBackend(), folder(spark), max_rounds=1)
+    return good.select("plan_id", "round", "answer")
+
+
+@query(f"WITH {BAGS} SELECT task_id || '_0' plan_id, 1 AS round, 'repair_solution' repair_action, 'invalid_format' error_type, 'multiple_subquestions' reasons FROM bags WHERE c_custkey % 7 = 0")
+def validate_stage_failures(spark, d):
+    _, bad, _ = RO.validate(offered(spark, d), StubBackend(), folder(spark), max_rounds=1)
+    return bad.select("plan_id", "round", "repair_action", "error_type", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query(f"WITH {BAGS} SELECT task_id || '_0' plan_id, 3 attempts, 'validation_invalid_format' failure_type, 'community_library' scene FROM bags WHERE c_custkey % 7 = 0")
+def validation_failures_to_retry(spark, d):
+    bad = offered(spark, d).filter("source_task_id % 7 = 0").withColumns({"round": F.lit(2), "error_type": F.lit("invalid_format"), "repair_action": F.lit("repair_solution"), "active_plan": F.lit(None).cast(P.knowledge_type(spark)), "next_plan": F.lit(None).cast(P.knowledge_type(spark))})
+    return RO.failures_to_retry(bad, planned(spark, d)).select("plan_id", "attempts", "failure_type", F.col("next_plan.diversity.primary_scene.domain").alias("scene"))
+
+
+@query(f"WITH {BAGS} SELECT task_id || '_0' plan_id, 'Step 1: Given the numbers, ' || a || ' * ' || b || ' = ' || product || '.' steps, c_custkey AS other FROM bags")
+def refine_stage(spark, d):
+    x = offered(spark, d).withColumn("question", F.regexp_replace("question", " And.*", "")).withColumn("other", F.col("source_task_id").cast("long"))
+    good, _ = RO.refine(x, StubBackend(), folder(spark), max_rounds=1)
+    return good.select("plan_id", F.array_join("steps", "|").alias("steps"), "other")
+
+
+@query(f"""WITH s AS (SELECT s_suppkey::VARCHAR || '_0' id, ['similarity','request_error','stubborn_validation'][s_suppkey % 3 + 1] why FROM supplier), st AS (SELECT *, {_slot("id || '|replan|1'", 21)} st FROM s)
+SELECT id plan_id, CASE WHEN why = 'request_error' THEN 'community_library' ELSE {_DOM}[CASE WHEN {_DOM}[st + 1] = 'community_library' THEN (st + 1) % 21 ELSE st END + 1] END scene, CASE WHEN why = 'request_error' THEN 'eggs' ELSE '' END keywords, CASE WHEN why = 'request_error' THEN 0 ELSE 1 END replanned_round FROM st""")
+def replan_update(spark, d):
+    """The plan after a failure: new diversity and no inspiration, or the plan as it was."""
+    one = planned(spark, d).filter("ord = 1").select(F.col("knowledge").alias("known"))
+    k = F.col("s_suppkey").cast("int")
+    s = t(spark, d, "supplier").select(text(k.cast("string"), "_0").alias("plan_id"), F.element_at(T.strings(["similarity", "request_error", "stubborn_validation"]), k % 3 + 1).alias("why")).crossJoin(F.broadcast(one))
+    s = s.withColumn("new", P.replan(F.col("known"), F.col("plan_id"), F.col("why"), F.lit(1)))
+    return s.select("plan_id", F.col("new.diversity.primary_scene.domain").alias("scene"), F.array_join("new.kb_inspiration.scene_keywords", ",").alias("keywords"), F.col("new.diversity.replanned_round").alias("replanned_round"))
+
+
+_WORDS = "list_sort(list_distinct(list_filter(regexp_extract_all(lower(s), '[a-z]+'), lambda x: len(x) >= 4)))"
+
+
+@query(f"""WITH {BAGS} SELECT task_id || '_0' plan_id, array_to_string({_WORDS}, ',') tokens FROM (SELECT *, 'community_library a neighborhood library librarian volunteer reader books shelves returns books days shelves bakery a small bakery baker assistant customer trays pastries ingredients trays pieces kilograms '
+ || CASE WHEN c_custkey % 11 = 0 THEN 'piano' ELSE 'eggs' END s FROM bags)""")
+def plan_tokens(spark, d):
+    """Keyword tokens of nested plans."""
+    return planned(spark, d).select("plan_id", F.array_join(F.array_sort(P.plan_tokens(F.col("knowledge"))), ",").alias("tokens"))
+
+
+# -- the older tools --------------------------------------------------------------------------------------------------
+
+
+def carded(spark, d) -> DataFrame:
+    """Knowledge-base records of parts with all that cards need."""
+    p = t(spark, d, "part")
+    words = F.split("p_name", " ")
+    return p.select(
+        F.col("p_partkey").alias("task_id"), F.col("p_name").alias("question"), F.col("p_brand").alias("answer"), F.lit("").alias("solution_text"), F.col("p_name").alias("surface_template"), F.col("p_name").alias("scene_template"),
+        F.concat("p_name", F.col("p_size").cast("string")).alias("scenario_template"), F.concat("p_brand", F.lit("|"), "p_type").alias("knowledge_signature"), F.array(F.split("p_type", " ")[0]).alias("skill_tags"), F.array(F.lit("sum")).alias("operation_sequence"),
+        (F.col("p_size") % 7).cast("int").alias("step_count"), F.element_at(T.strings(C.BUCKETS), F.col("p_size") % 4 + 1).alias("difficulty_bucket"), words.alias("all_terms"), F.array().cast("array<string>").alias("persons"), words.alias("focus_terms"), F.array().cast("array<string>").alias("units"),
+    )
+
+
+_PEER = "row_number() OVER (PARTITION BY a.id ORDER BY b.sc = a.sc, b.sn = a.sn, b.id) n FROM k a JOIN k b ON a.{0} = b.{0} AND a.id <> b.id"
+
+
+@query(f"""WITH k AS (SELECT p_partkey id, p_brand || '|' || p_type sig, string_split(p_type, ' ')[1] skill, lower(p_name) sc, lower(p_name) || p_size sn, p_size FROM part),
+g AS (SELECT a.id, b.id peer, {_PEER.format('sig')}), h AS (SELECT a.id, b.id peer, {_PEER.format('skill')}),
+gl AS (SELECT id, list(peer ORDER BY n) l FROM g WHERE n <= 6 GROUP BY id), hl AS (SELECT id, list(peer ORDER BY n) l FROM h WHERE n <= 6 GROUP BY id)
+SELECT k.id task_id, CASE WHEN p_size % 7 <= 1 THEN 'very_short' WHEN p_size % 7 <= 2 THEN 'short' WHEN p_size % 7 <= 4 THEN 'medium' ELSE 'long' END step_bucket,
+ coalesce(array_to_string(gl.l, ','), '') same_structure, coalesce(array_to_string(hl.l, ','), '') scene_swap, coalesce(array_to_string(gl.l[1:greatest(1, len(gl.l) // 2)], ','), '') entity_swap,
+ coalesce(array_to_string(hl.l[1:greatest(1, len(hl.l) // 2)], ','), '') surface_swap FROM k LEFT JOIN gl USING (id) LEFT JOIN hl USING (id)""")
+def plan_cards(spark, d):
+    cards = LE.plan_cards(carded(spark, d))
+    mode = lambda m: F.array_join(F.element_at(F.filter("diversity_profile.candidate_modes", lambda x: x["mode"] == m), 1)["peer_task_ids"].cast("array<string>"), ",").alias(m)
+    return cards.select("task_id", "step_bucket", *map(mode, LE.MODES))
+
+
+@query("""WITH c AS (SELECT CASE WHEN p_size % 7 <= 1 THEN 'very_short' WHEN p_size % 7 <= 2 THEN 'short' WHEN p_size % 7 <= 4 THEN 'medium' ELSE 'long' END s, ['easy','medium','hard','very_hard'][(p_size % 4 + 1)::INT] b FROM part)
+SELECT 'step_bucket' kind, s bucket, count(*) n FROM c GROUP BY s UNION ALL SELECT 'difficulty', b, count(*) FROM c GROUP BY b""")
+def card_summary(spark, d):
+    return LE.card_summary(carded(spark, d).withColumn("step_bucket", N.step_bucket(F.col("step_count"))))
+
+
+@query(f"""WITH c AS (SELECT p_partkey id, {_BUCKET} b, p_name, string_split(p_name, ' ') w FROM part), s AS (SELECT s_suppkey id, (s_suppkey % 10) / 10e0 m FROM supplier),
+l AS (SELECT s.id, v::INT variant, CASE WHEN m <= 0.2 THEN 'easy' WHEN m <= 0.4 THEN 'easy' WHEN m <= 0.6 THEN 'medium' WHEN m <= 0.8 THEN 'hard' ELSE 'very_hard' END tb, {LABEL_SQL.replace('mastery', 'm')} label FROM s, range(3) q(v)),
+r AS (SELECT l.*, c.id card, c.p_name, c.w, row_number() OVER (PARTITION BY l.id, variant ORDER BY c.id = l.id, c.id) - 1 pos, count(*) OVER (PARTITION BY l.id, variant) n, max(c.id = l.id) OVER (PARTITION BY l.id, variant) own FROM l JOIN c ON c.b = l.tb),
+h AS (SELECT *, (('0x' || substr(sha1(id || '|' || label || '|' || tb || '|' || variant || '|' || tb), 1, 16))::UBIGINT % n)::BIGINT st FROM r)
+SELECT id || '_' || variant task_id, label target_difficulty, card plan_source_task_id, p_name question, array_to_string(w[1:8], ',') anchor_terms,
+ CASE tb WHEN 'easy' THEN ['surface_swap','scene_swap'][variant % 2 + 1] WHEN 'medium' THEN ['same_structure','scene_swap','surface_swap'][variant % 3 + 1] WHEN 'hard' THEN ['same_structure','entity_swap','surface_swap'][variant % 3 + 1] ELSE ['same_structure','entity_swap'][variant % 2 + 1] END AS mode
+FROM h WHERE pos = CASE WHEN own AND n > 1 AND st = n - 1 THEN 0 ELSE st END""")
+def generation_plan(spark, d):
+    s = t(spark, d, "supplier").select(F.col("s_suppkey").alias("task_id"), F.lit("q").alias("question"), F.lit("1").alias("answer"), ((F.col("s_suppkey") % 10) / F.lit(10e0)).alias("mastery"), F.lit(3).alias("target_count"), *(F.lit(None).cast("string").alias(c) for c in ("target_difficulty", "target_difficulty_bucket")))
+    return LE.generation_plan(s, carded(spark, d)).select("task_id", "target_difficulty", "plan_source_task_id", "question", F.array_join("anchor_terms", ",").alias("anchor_terms"), "mode")
+
+
+@query(f"""SELECT p_partkey, CASE WHEN p_size % 4 = 3 THEN 0.9e0 ELSE CASE {_BUCKET} WHEN 'easy' THEN 0.3 WHEN 'medium' THEN 0.4 WHEN 'hard' THEN 0.6 ELSE 0.7 END END::DOUBLE temperature, 1e0 top_p FROM part""")
+def sampling_settings(spark, d):
+    bucket = F.element_at(T.strings(C.BUCKETS), F.col("p_size") % 4 + 1)
+    x = t(spark, d, "part").withColumn("s", LE.sampling(bucket, F.lit("Equal"), temperatures={"very_hard": 0.9}, top_p=1.5))
+    return x.select("p_partkey", "s.temperature", "s.top_p")
+
+
+@query("""SELECT p_partkey task_id, ['easy','medium','hard','very_hard'][(p_size % 4 + 1)::INT] bucket, CASE p_size % 4 WHEN 0 THEN '1,2' WHEN 1 THEN '2,4' WHEN 2 THEN '4,6' ELSE '6,10' END step_range, (p_size % 7)::INT reference_step_count FROM part""")
+def target_map(spark, d):
+    return LE.targets(carded(spark, d)).select("task_id", "bucket", F.array_join(F.col("step_count_range").cast("array<string>"), ",").alias("step_range"), "reference_step_count")
+
+
+@query("""SELECT o_orderkey, coalesce(a.c_mktsegment, b.c_mktsegment, 'none') found FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 = 0) a ON a.c_custkey = o_orderkey % 1000 LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 = 0) b ON b.c_custkey = o_custkey""")
+def fallback_lookup(spark, d):
+    """The first of two keys that finds a row, keys of any type."""
+    rows = t(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % 1000).alias("task_id"), F.col("o_custkey").alias("source_task_id"))
+    side = t(spark, d, "customer").filter("c_custkey % 3 = 0").select(F.col("c_custkey").cast("string").alias("task_id"), "c_mktsegment")
+    return LE.lookup(rows, side, ["task_id", "source_task_id"], "v").select("o_orderkey", F.coalesce("v.c_mktsegment", F.lit("none")).alias("found"))
+
+
+def _reviewable(spark, d) -> DataFrame:
+    """Candidates of the older generator; every fourth is its source's question."""
+    b = bags(spark, d)
+    k, p = F.col("c_custkey"), F.col("product").cast("string")
+    return b.select("task_id", F.col("task_id").alias("source_task_id"), F.when(k % 4 == 0, F.lit("Here are 5 cups of 6 pens. How many pens?")).otherwise(F.col("question")).alias("question"), text("It is ", p).alias("solution"), p.alias("answer"), F.lit("easy").alias("difficulty_bucket"), F.lit(1).alias("step_count"))
+
+
+def _sources(spark, d) -> tuple[DataFrame, DataFrame]:
+    b = bags(spark, d)
+    return b.select("task_id", F.lit("Here are 5 cups of 6 pens. How many pens?").alias("question"), F.lit("-1").alias("answer"), F.lit("").alias("scene_template")), b.select("task_id", F.lit("easy").alias("bucket"), F.array(F.lit(1), F.lit(2)).alias("step_count_range"), F.lit(1).alias("reference_step_count"))
+
+
+@query(f"WITH {BAGS} SELECT task_id, c_custkey % 4 = 0 repaired, c_custkey % 4 = 0 repair_failed, CASE WHEN c_custkey % 4 = 0 THEN 'answer_or_question_leaks_source,near_duplicate_question' ELSE '' END issues FROM bags")
+def noise_repair(spark, d):
+    """The stub keeps the question, so what leaks stays."""
+    out = LE.repair_noise(_reviewable(spark, d), *_sources(spark, d), StubBackend(), folder(spark))
+    return out.select("task_id", "repaired", "repair_failed", F.array_join("noise_report.issues", ",").alias("issues"))
+
+
+@query(f"WITH {BAGS} SELECT task_id, 'pass' verdict, 5e0 overall_score, true passed, 'fine' short_reason FROM bags")
+def evaluate_stage(spark, d):
+    return LE.evaluate(_reviewable(spark, d), *_sources(spark, d), StubBackend(), folder(spark)).select("task_id", "evaluation.verdict", "evaluation.overall_score", "evaluation.passed", "evaluation.short_reason")
+
+
+@query(f"WITH {BAGS} SELECT task_id, true passed, 0 rounds, 5e0 overall_score FROM bags")
+def quality_loop(spark, d):
+    return LE.quality_loop(_reviewable(spark, d), *_sources(spark, d), StubBackend(), folder(spark)).select("task_id", "passed", "rounds", "overall_score")
+
+
+@query("""WITH q AS (SELECT p_partkey o, list_sort(list_distinct(string_split(lower(p_name), ' '))) w FROM part) SELECT o AS ord FROM q WHERE o NOT IN (SELECT min(o) FROM q GROUP BY w)""")
+def sequential_similarity(spark, d):
+    """Part names, of two words each, are alike only if they have the same ones."""
+    return LE.rejected(t(spark, d, "part").select(F.col("p_partkey").alias("ord"), F.col("p_name").alias("question")), folder(spark).keep)
+
+
+@query(f"""WITH {BAGS} SELECT task_id || '_' || v task_id, product::VARCHAR answer, stumbles AND false generation_failed FROM bags, range(1) r(v)""")
+def generate_older(spark, d):
+    plan = bags(spark, d).select("ord", F.concat_ws("_", "task_id", F.lit("0")).alias("task_id"), F.col("task_id").alias("source_task_id"), F.lit(0).alias("variant_index"), "question", F.lit("medium").alias("target_difficulty_bucket"), F.lit("Equal").alias("target_difficulty"), F.array(F.lit(2), F.lit(4)).alias("target_step_count_range"), F.lit("scene_swap").alias("mode"), F.lit("s").alias("source_question"), F.lit("1").alias("source_answer"))
+    return LE.projections(LE.generate(plan, StubBackend(), folder(spark)))["successes"].select("task_id", "answer", "generation_failed")
+
+
+# -- readers of model output ------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {SEED} SELECT task_id, CASE k % 4 WHEN 3 THEN 'audit response is not valid JSON' ELSE '' END error, CASE k % 4 WHEN 0 THEN 'Hard' WHEN 3 THEN NULL ELSE 'Equal' END label, CASE k % 4 WHEN 0 THEN 'repair_solution' WHEN 3 THEN NULL ELSE 'regenerate_question' END AS action, CASE WHEN k % 4 = 3 THEN NULL ELSE fin::VARCHAR END correct_answer FROM seed")
+def parse_audit(spark, d):
+    f, k = F.col("fin").cast("string"), F.col("k")
+    raw = F.when(k % 4 == 0, text('{"estimated_difficulty": "Hard", "repair_action": "repair_solution", "correct_answer": "$', f, '"}')).when(k % 4 == 3, "[]").otherwise(text('{"estimated_difficulty": "odd", "repair_action": "guess", "correct_answer": ', f, ",}"))
+    return seeds(spark, d).withColumn("a", J.parse_audit(raw)).select("task_id", "a.error", F.col("a.estimated_difficulty").alias("label"), F.col("a.repair_action").alias("action"), "a.correct_answer")
+
+
+@query(f"WITH {SEED} SELECT task_id, CASE k % 4 WHEN 2 THEN 'blind response missing numeric answer' WHEN 3 THEN 'blind response is not valid JSON' ELSE '' END error, CASE WHEN k % 4 < 2 THEN fin::VARCHAR END answer, CASE k % 4 WHEN 0 THEN 1e0 WHEN 1 THEN 0e0 END confidence FROM seed")
+def parse_vote(spark, d):
+    f, k = F.col("fin").cast("string"), F.col("k")
+    raw = F.when(k % 4 == 0, text('{"solvable": "yes", "unique_answer": 1, "answer": "', f, '", "confidence": 7}')).when(k % 4 == 1, text('x {"solvable": false, "unique_answer": true, "answer": ', f, ', "confidence": "high"} y')).when(k % 4 == 2, '{"solvable": true, "unique_answer": true, "answer": "none"}').otherwise("no")
+    return seeds(spark, d).withColumn("v", J.parse_vote(raw)).select("task_id", "v.error", "v.answer", "v.confidence")
+
+
+@query(f"WITH {SEED} SELECT task_id, CASE k % 3 WHEN 0 THEN 'Given x,So ' || fin WHEN 1 THEN 'one,two' ELSE 'a,b c' END steps, fin::VARCHAR final_answer FROM seed")
+def parse_victim(spark, d):
+    """Whole objects, broken ones, and cut-off ones."""
+    f, k = F.col("fin").cast("string"), F.col("k")
+    raw = F.when(k % 3 == 0, text('{"steps": ["Given  x", "So ', f, '"], "final_answer": "', f, '"}')).when(k % 3 == 1, text('{"steps": ["one", "two" "final_answer": ', f)).otherwise(text('{"steps": ["a", "b\\nc"], "answer": "', f, '", '))
+    raw = F.when(k % 3 == 1, text('{"steps": ["one", "two", "final_answer": ', f)).otherwise(raw)
+    v = seeds(spark, d).withColumn("v", J.parse_victim(raw))
+    return v.select("task_id", F.array_join(F.filter("v.steps", lambda s: s != "final_answer"), ",").alias("steps"), "v.final_answer")
+
+
+@query(f"WITH {SEED} SELECT task_id, CASE k % 3 WHEN 0 THEN 'pass' ELSE 'fail' END verdict, CASE k % 3 WHEN 0 THEN 4e0 END correctness, CASE k % 3 WHEN 0 THEN 'a,b' ELSE '' END issues FROM seed")
+def parse_inspection(spark, d):
+    k = F.col("k")
+    raw = F.when(k % 3 == 0, '{"verdict": " PASS ", "scores": {"correctness": 4}, "issues": ["a", "", " b "]}').when(k % 3 == 1, '{"verdict": "maybe"}').otherwise("none")
+    return seeds(spark, d).withColumn("i", J.parse_inspection(raw)).select("task_id", "i.verdict", "i.correctness", F.array_join("i.issues", ",").alias("issues"))
+
+
+@query(f"WITH {SEED} SELECT task_id, CASE k % 3 WHEN 2 THEN '' ELSE 'q' END question, CASE k % 3 WHEN 2 THEN '' ELSE fin::VARCHAR END answer, CASE k % 3 WHEN 0 THEN 'a b' WHEN 1 THEN 'x' ELSE '' END solution, CASE k % 3 WHEN 0 THEN 'a,b' WHEN 1 THEN 'x' ELSE '' END steps, CASE k % 3 WHEN 1 THEN 'easy' ELSE 'hard' END difficulty_bucket FROM seed")
+def parse_candidate(spark, d):
+    f, k = F.col("fin").cast("string"), F.col("k")
+    raw = F.when(k % 3 == 0, text('[1, {"x": 1}, {"question": "q", "steps": ["a", "b"], "final_answer": "', f, '"}]')).when(k % 3 == 1, text('{"result": {"question": "q", "reasoning_brief": "x", "answer": "', f, '", "difficulty_bucket": "easy"}}')).otherwise("none")
+    g = seeds(spark, d).withColumn("g", J.parse_candidate(raw, F.lit("hard")))
+    return g.select("task_id", "g.question", "g.answer", F.translate("g.solution", "\n", " ").alias("solution"), F.array_join("g.steps", ",").alias("steps"), "g.difficulty_bucket")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -30,75 +33,82 @@ def records(seeds: DataFrame) -> DataFrame:
     )
 
 
-def _first(x, order) -> F.Column:
+def _first(x, order) -> Column:
     return F.min_by(x, order)
 
 
-def _ordered(x, order="ord") -> F.Column:
-    """Values in input order, nulls among them."""
-    return F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), x.alias("v")))), lambda s: s["v"])
+def _sorted_set(x) -> Column:
+    return F.array_sort(F.array_compact(F.collect_set(F.nullif(x, F.lit("")))))
 
 
-def _sorted_set(x) -> F.Column:
-    return F.array_sort(F.array_compact(F.collect_set(F.nullif(x, F.lit("")))))
+def _with_examples(bank: DataFrame, rows: DataFrame, by: list[str], order: str, value: Column, n: int = 3) -> DataFrame:
+    """Adds the values of each group's first ``n`` rows; only those leave their partition."""
+    keys = [f"_{c}" for c in by]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("_o"))
+    first = rows.select(*(F.col(c).alias(k) for c, k in zip(by, keys)), F.col(order).alias("_o"), value.alias("_v")).withColumn("_r", place).filter(F.col("_r") <= n)
+    listed = first.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_r", "_v"))), lambda s: s["_v"]).alias("examples"))
+    return bank.join(listed, reduce(and_, (bank[c] == F.col(k) for c, k in zip(by, keys)))).drop(*keys)
 
 
-def concept_bank(kb: DataFrame) -> DataFrame:
-    """Per kind and term (without regard to case): first spelling, count, and what it occurs with, in input order."""
+def concept_links(kb: DataFrame) -> DataFrame:
+    """One row per occurrence of a person, focus term or unit: kind, key (its text without case), place, and what it occurs with."""
     parts = [kb.select("ord", "task_id", "question", "question_type", "scene_template", F.lit(kind).alias("kind"), F.posexplode(col).alias("pos", "term")) for kind, col in (("person", "persons"), ("focus_term", "focus_terms"), ("unit", "units"))]
-    seen = parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("at", F.struct("ord", "pos"))
-    return seen.groupBy("kind", F.lower("term").alias("key")).agg(
-        _first("term", "at").alias("term"),
-        F.count(F.lit(1)).alias("count"),
-        _ordered(F.col("task_id"), "at").alias("task_ids"),
-        _ordered(F.col("question_type"), "at").alias("question_types"),
-        _ordered(F.col("scene_template"), "at").alias("scene_templates"),
-        F.slice(_ordered(F.col("question"), "at"), 1, 3).alias("examples"),
-    )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumns({"at": F.struct("ord", "pos"), "key": F.lower("term")})
+
+
+def concept_bank(kb: DataFrame) -> DataFrame:
+    """Per kind and term: first spelling, count and first three questions, most frequent first.
+
+    The tasks, types and scenes of a term, which grow with the corpus, are the rows of ``concept_links``.
+    """
+    links = concept_links(kb)
+    bank = links.groupBy("kind", "key").agg(_first("term", "at").alias("term"), F.count(F.lit(1)).alias("count"), F.min("task_id").alias("first_task_id"), _sorted_set(F.col("question_type")).alias("question_types"))
+    return _with_examples(bank, links, ["kind", "key"], "at", F.col("question")).orderBy(F.col("count").desc(), "kind", "key")
+
+
+def bank_links(kb: DataFrame, key: Column) -> DataFrame:
+    """One row per record: the bank key it counts for, and its task, sequence and first concepts, for the banks of templates and signatures."""
+    return kb.select(key.alias("key"), "ord", "task_id", "operation_sequence", F.slice("all_terms", 1, 10).alias("concepts"))
 
 
 def scene_bank(kb: DataFrame) -> DataFrame:
-    tags = F.array_sort(F.array_distinct(F.flatten(F.collect_set("skill_tags"))))
-    return kb.groupBy(F.lower("scene_template").alias("key")).agg(
+    rows = kb.withColumn("key", F.lower("scene_template"))
+    bank = rows.groupBy("key").agg(
         _first("scene_template", "ord").alias("scene_template"),
         _first("surface_template", "ord").alias("surface_template"),
         _first("scenario_template", "ord").alias("scenario_template"),
         F.count(F.lit(1)).alias("count"),
-        _ordered(F.col("task_id")).alias("task_ids"),
         _sorted_set(F.col("question_type")).alias("question_types"),
-        tags.alias("skill_tags"),
-        _ordered(F.col("operation_sequence")).alias("operation_sequences"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("skill_tags")))).alias("skill_tags"),
         _sorted_set(F.col("difficulty_bucket")).alias("difficulty_buckets"),
         F.round(F.avg("step_count"), 3).alias("avg_step_count"),
-        F.slice(_ordered(F.struct("task_id", "question", "answer")), 1, 3).alias("examples"),
-        _ordered(F.slice("all_terms", 1, 10)).alias("concepts"),
     )
+    return _with_examples(bank, rows, ["key"], "ord", F.struct("task_id", "question", "answer")).orderBy(F.col("count").desc(), "scene_template")
 
 
 def template_bank(kb: DataFrame) -> DataFrame:
-    return kb.groupBy(F.lower("surface_template").alias("key")).agg(
+    rows = kb.withColumn("key", F.lower("surface_template"))
+    bank = rows.groupBy("key").agg(
         _first("surface_template", "ord").alias("surface_template"),
         _first("scene_template", "ord").alias("scene_template"),
         _first("scenario_template", "ord").alias("scenario_template"),
         F.count(F.lit(1)).alias("count"),
-        _ordered(F.col("task_id")).alias("task_ids"),
         _sorted_set(F.col("question_type")).alias("question_types"),
         _sorted_set(F.col("difficulty_bucket")).alias("difficulty_buckets"),
-        F.slice(_ordered(F.col("question")), 1, 3).alias("examples"),
     )
+    return _with_examples(bank, rows, ["key"], "ord", F.col("question")).orderBy(F.col("count").desc(), "surface_template")
 
 
 def knowledge_bank(kb: DataFrame) -> DataFrame:
-    return kb.groupBy("knowledge_signature").agg(
+    bank = kb.groupBy("knowledge_signature").agg(
         _first("skill_tags", "ord").alias("skill_tags"),
         _first("operation_sequence", "ord").alias("operation_sequence"),
         _first("difficulty_bucket", "ord").alias("difficulty_bucket"),
         F.count(F.lit(1)).alias("count"),
-        _ordered(F.col("task_id")).alias("task_ids"),
         _sorted_set(F.col("question_type")).alias("question_types"),
         F.round(F.avg("step_count"), 3).alias("avg_step_count"),
-        F.slice(_ordered(F.struct("task_id", "question", "answer")), 1, 3).alias("examples"),
     )
+    return _with_examples(bank, kb, ["knowledge_signature"], "ord", F.struct("task_id", "question", "answer")).orderBy(F.col("count").desc(), "knowledge_signature")
 
 
 def entity_pools(bank: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,9 +65,16 @@ def diversity(seed: Column, variant: Column, full: bool = False) -> Column:
     mode = pick(C.VARIATION_MODES, N.stable_mod(F.concat(seed, F.lit("|variation")), 6) + variant)
     style = pick(C.NARRATIVE_STYLES, N.stable_mod(F.concat(seed, F.lit("|narrative")), 6) + F.floor(variant / n))
     numbers = pick(C.NUMBER_STRATEGIES, N.stable_mod(F.concat(seed, F.lit("|numbers")), 6) + variant)
+    return _diversity(scene, F.array(*(F.element_at(pool, ((start + o) % n + 1).cast("int")) for o in (7, 13, 21))), mode, style, numbers, F.lit(0), F.lit(""))
+
+
+def _diversity(scene: Column, others: Column, mode: Column, style: Column, numbers: Column, retry: Column, reason: Column) -> Column:
+    """The diversity part of a plan; ``retry`` is 0 in a first plan."""
+    named = F.concat_ws("|", scene["domain"], mode, style, numbers)
     return F.struct(
-        scene.alias("primary_scene"), F.array(*(F.element_at(pool, ((start + o) % n + 1).cast("int")) for o in (7, 13, 21))).alias("alternative_scenes"), mode.alias("variation_mode"),
-        style.alias("narrative_style"), numbers.alias("number_strategy"), F.concat_ws("|", scene["domain"], mode, style, numbers).alias("plan_signature"),
+        scene.alias("primary_scene"), others.alias("alternative_scenes"), mode.alias("variation_mode"), style.alias("narrative_style"), numbers.alias("number_strategy"),
+        F.lit(True).alias("same_template_new_scene_allowed"), F.lit(True).alias("scene_change_required"), retry.cast("int").alias("replanned_round"), reason.alias("replan_reason"),
+        F.when(retry > 0, F.concat(named, F.lit("|retry:"), retry.cast("string"))).otherwise(named).alias("plan_signature"),
     )
 
 
@@ -74,12 +84,14 @@ def plan_rows(quotas: DataFrame, kb: DataFrame, pools: dict[str, Column] | None
     Unmatched seeds go; the last of equal keys in the knowledge base counts.
     """
     last = kb.groupBy("task_id").agg(*(F.max_by(c, "ord").alias(c) for c in kb.columns if c != "task_id"))
-    joined = quotas.join(last.select("task_id", "skill_tags", "operation_sequence", "difficulty_bucket"), "task_id")
+    held = lambda name, kind, none: (F.coalesce(name, F.lit(none)) if name in last.columns else F.lit(none)).cast(kind)
+    known = last.select("task_id", "skill_tags", "operation_sequence", "difficulty_bucket", held("knowledge_signature", "string", "").alias("knowledge_signature"), held("step_count", "int", 0).alias("reference_step_count"))
+    joined = quotas.join(known, "task_id")
     bucket = F.coalesce(F.nullif("target_difficulty_bucket", F.lit("")), N.choice(F.col("target_difficulty"), C.LABEL_BUCKET), F.lit("medium"))
     seeds = joined.select("task_id", F.col("skill_tags").alias("skills"), F.col("operation_sequence").alias("ops"), F.col("difficulty_bucket").alias("bucket"), bucket.alias("target_bucket"), F.greatest("target_count", F.lit(0)).alias("target_count"))
     source = scene_sources(seeds, last.select("ord", "task_id", F.col("skill_tags").alias("skills"), F.col("operation_sequence").alias("ops"), F.col("difficulty_bucket").alias("bucket")))
     source = source.join(last.select(F.col("task_id").alias("source_id"), "persons", "focus_terms", "units", F.col("skill_tags").alias("related")), "source_id")
-    rows = source.join(joined.select("task_id", "skill_tags", "operation_sequence", F.coalesce(F.nullif("target_difficulty", F.lit("")), F.lit("Equal")).alias("target_difficulty")), "task_id")
+    rows = source.join(joined.select("task_id", "skill_tags", "operation_sequence", "knowledge_signature", "reference_step_count", F.coalesce(F.nullif("target_difficulty", F.lit("")), F.lit("Equal")).alias("target_difficulty")), "task_id")
     key = F.concat_ws("|", "task_id", F.col("variant").cast("string"))
 
     def terms(column: str, kind: str, pool: str, n: int, spare: int) -> Column:
@@ -92,9 +104,9 @@ def plan_rows(quotas: DataFrame, kb: DataFrame, pools: dict[str, Column] | None
 
     inspiration = F.struct(
         terms("focus_terms", "focus", "focus_term", 4, 2).alias("scene_keywords"), terms("persons", "person", "person", 2, 1).alias("possible_roles"), terms("units", "unit", "unit", 2, 1).alias("possible_units"),
-        F.col("related").alias("related_skill_tags"),
+        F.col("related").alias("related_skill_tags"), F.lit(INSPIRED).alias("policy"),
     )
-    math = F.struct("skill_tags", "operation_sequence", "target_difficulty")
+    math = F.struct("skill_tags", "operation_sequence", "knowledge_signature", "reference_step_count", "target_difficulty")
     return rows.select(
         F.col("task_id").alias("source_task_id"), F.concat_ws("_", "task_id", F.col("variant").cast("string")).alias("plan_id"),
         F.struct(math.alias("math"), diversity(F.col("task_id"), F.col("variant")).alias("diversity"), inspiration.alias("kb_inspiration")).alias("knowledge"),
@@ -106,32 +118,67 @@ def replanned(plan_id: Column, domain: Column, failure: Column, retry: Column, f
     pool, n = domain_array(full), len(C.domains(full))
     start = N.stable_mod(F.concat_ws("|", plan_id, F.lit("replan"), retry.cast("string")), n)
     at = F.when(F.element_at(pool, start + 1)["domain"] == domain, (start + 1) % n).otherwise(start)
-    scene = F.element_at(pool, at + 1)
     of = lambda what, values: pick(values, N.stable_mod(F.concat(plan_id, F.lit(f"|replan-{what}")), 6) + retry)
     mode, style, numbers = of("variation", C.VARIATION_MODES), of("narrative", C.NARRATIVE_STYLES), of("number", C.NUMBER_STRATEGIES)
-    new = F.struct(
-        scene.alias("primary_scene"), F.array(*(F.element_at(pool, (at + o) % n + 1) for o in (5, 11, 19))).alias("alternative_scenes"), mode.alias("variation_mode"), style.alias("narrative_style"), numbers.alias("number_strategy"),
-        F.concat(F.concat_ws("|", scene["domain"], mode, style, numbers), F.lit("|retry:"), retry.cast("string")).alias("plan_signature"),
-    )
+    new = _diversity(F.element_at(pool, at + 1), F.array(*(F.element_at(pool, (at + o) % n + 1) for o in (5, 11, 19))), mode, style, numbers, retry, failure)
     return F.when(failure.isin(C.REPLAN_FAILURES), new)
 
 
+def replan(knowledge: Column, plan_id: Column, failure: Column, retry: Column, full: bool = False) -> Column:
+    """A failed plan's knowledge: new diversity and no inspiration, or as it is where the failure keeps the plan."""
+    new = replanned(plan_id, knowledge["diversity"]["primary_scene"]["domain"], failure, retry, full)
+    none = F.array().cast("array<string>")
+    policy = F.when(failure == "similarity", F.lit(TOO_SIMILAR)).otherwise(F.lit(STUBBORN))
+    bare = knowledge["kb_inspiration"].withField("scene_keywords", none).withField("possible_roles", none).withField("possible_units", none).withField("policy", policy)
+    return F.when(failure.isin(C.REPLAN_FAILURES), knowledge.withField("diversity", new).withField("kb_inspiration", bare)).otherwise(knowledge)
+
+
+def knowledge_type(spark) -> str:
+    """The type of a plan's knowledge."""
+    none = F.array().cast("array<string>")
+    inspired = F.struct(none.alias("scene_keywords"), none.alias("possible_roles"), none.alias("possible_units"), none.alias("related_skill_tags"), F.lit("").alias("policy"))
+    math = F.struct(none.alias("skill_tags"), none.alias("operation_sequence"), F.lit("").alias("knowledge_signature"), F.lit(0).alias("reference_step_count"), F.lit("").alias("target_difficulty"))
+    known = F.struct(math.alias("math"), diversity(F.lit("x"), F.lit(0)).alias("diversity"), inspired.alias("kb_inspiration"))
+    return spark.range(1).select(known.alias("k")).schema["k"].dataType.simpleString()
+
+
+def plan_tokens(knowledge: Column) -> Column:
+    """Keyword tokens of a plan's scenes and inspiration, whatever nests them."""
+    scenes = F.concat(F.array(knowledge["diversity"]["primary_scene"]), knowledge["diversity"]["alternative_scenes"])
+    words = F.flatten(F.transform(scenes, lambda s: F.concat(F.array(s["domain"], s["setting"]), s["roles"], s["objects"], s["units"])))
+    inspired = knowledge["kb_inspiration"]
+    return T.keyword_set(F.array_join(F.concat(words, inspired["scene_keywords"], inspired["possible_roles"], inspired["possible_units"]), " "))
+
+
+#: What a plan says about its inspiration.
+INSPIRED = "Take or leave: no wording, name, number or template of the knowledge base is to be copied, and the scene comes first."
+TOO_SIMILAR = "The last question was too like another one: use the new scene, with new names, objects, values and words."
+STUBBORN = "The last questions stayed wrong or of the wrong difficulty: build a new problem for the skills and the new scene, and keep nothing of the old one."
+
+
 def peers(kb: DataFrame, key: str, most: int = 6) -> DataFrame:
     """(task_id, scene_template, scenario_template, key) -> peer_ids: others of the key, other scenes and scenarios first.
 
-    A row's peers come from other scenes first, so of a key only its first rows in each
-    scene, and of those the first in id order over two scenes more than asked for,
-    can be chosen; a common key is cut to them before it meets its rows.
+    A row may need peers of four kinds (other or same scene, other or same scenario), of each
+    kind the ``most`` smallest ids.  Of each scene and scenario only most + 1 rows can be
+    among them, of each scene or scenario the first 2 * most + 1 of those, of a key the
+    first 5 * most + 2 of what is left.  So a row meets four short lists, however
+    common its key is.
     """
     norm = kb.select("task_id", F.col(key).alias("key"), F.lower(T.ws(F.col("scene_template"))).alias("scene"), F.lower(T.ws(F.col("scenario_template"))).alias("scenario"))
-    inside = F.row_number().over(Window.partitionBy("key", "scene", "scenario").orderBy("task_id"))
-    other = norm.withColumn("r", inside).filter(F.col("r") <= most + 1).drop("r")
-    base = norm.select(F.col("task_id").alias("b_id"), F.col("key").alias("b_key"), F.col("scene").alias("b_scene"), F.col("scenario").alias("b_scenario"))
-    pairs = base.join(other, (F.col("b_key") == F.col("key")) & (F.col("b_id") != F.col("task_id")))
-    rank = F.row_number().over(Window.partitionBy("b_id").orderBy(F.col("scene") == F.col("b_scene"), F.col("scenario") == F.col("b_scenario"), "task_id"))
-    best = pairs.withColumn("r", rank).filter(F.col("r") <= most)
-    listed = best.groupBy("b_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "task_id"))), lambda s: s["task_id"]).alias("peer_ids"))
-    return kb.select("task_id").join(listed, F.col("task_id") == F.col("b_id"), "left").select("task_id", F.coalesce("peer_ids", F.array().cast(listed.schema["peer_ids"].dataType)).alias("peer_ids"))
+    first = lambda rows, by, n: rows.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy("task_id"))).filter(F.col("r") <= n).drop("r")
+    both = first(norm, ["key", "scene", "scenario"], most + 1)
+    of_scene, of_scenario = first(both, ["key", "scene"], 2 * most + 1), first(both, ["key", "scenario"], 2 * most + 1)
+    of_key = first(of_scene.join(of_scenario.select("key", "task_id"), ["key", "task_id"], "left_semi"), ["key"], 5 * most + 2)
+    rows = norm
+    for name, kept, by in (("p1", of_key, ["key"]), ("p2", of_scenario, ["key", "scenario"]), ("p3", of_scene, ["key", "scene"]), ("p4", both, ["key", "scene", "scenario"])):
+        listed = kept.select(*(F.col(c).alias(f"{name}_{c}") for c in by), F.struct("task_id", "scene", "scenario").alias(name)).groupBy(*(f"{name}_{c}" for c in by)).agg(F.collect_list(name).alias(name))
+        rows = rows.join(listed, reduce(and_, (F.col(c).eqNullSafe(F.col(f"{name}_{c}")) for c in by)), "left")
+    none = F.array().cast(rows.schema["p1"].dataType)
+    every = F.array_distinct(F.concat(*(F.coalesce(p, none) for p in ("p1", "p2", "p3", "p4"))))
+    others = F.filter(every, lambda p: p["task_id"] != F.col("task_id"))
+    ranked = F.array_sort(F.transform(others, lambda p: F.struct((p["scene"] == F.col("scene")).alias("a"), (p["scenario"] == F.col("scenario")).alias("b"), p["task_id"].alias("id"))))
+    return rows.select("task_id", F.transform(F.slice(ranked, 1, most), lambda s: s["id"]).alias("peer_ids"))
 
 
 def priority_pick(seeds: DataFrame, cards: DataFrame) -> DataFrame:

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import numeric as N
 from ..functions import text as T
 
+DIMENSIONS = ["correctness", "logical", "standardization", "completeness", "efficiency"]
+EVALUATED = ["correctness", "difficulty_match", "brevity", "non_redundancy", "answer_quality"]
+INSPECTED = ["difficulty_match", "correctness", "answer_uniqueness", "step_validity", "brevity"]
+
 # Issues that no majority can outvote.
 CRITICAL = ["difficulty_mismatch", "incorrect_answer", "unsolvable", "non_unique_answer", "invalid_steps", "answer_without_solution"]
 
@@ -75,18 +79,51 @@ def aggregate_votes(votes: DataFrame, scores: list[str]) -> DataFrame:
 
 def fallback_step_scores(steps: Column, reference: Column) -> Column:
     """Heuristic scores of steps: array of struct(step_id, score, efficiency), both on 0 to 1."""
-    ref = T.number_token(reference)
+    clamp = lambda x: (F.least(F.lit(5), F.greatest(F.lit(1), x)) - 1) / 4
 
     def one(s, i):
-        words = F.size(F.split(T.ws(s), " "))
-        points = F.when(words >= 3, 4).otherwise(3) + s.rlike("[0-9]").cast("int") + ((ref != "") & F.contains(T.number_token(s), ref)).cast("int")
-        effort = 6 - F.greatest(F.lit(1), F.floor(words / 6).cast("int"))
-        clamp = lambda x: (F.least(F.lit(5), F.greatest(F.lit(1), x)) - 1) / 4
-        return F.struct((i + 1).cast("int").alias("step_id"), clamp(points).alias("score"), clamp(effort).alias("efficiency"))
+        def scored(v):
+            words = F.size(F.split(v["text"], " "))
+            points = F.when(words >= 3, 4).otherwise(3) + v["text"].rlike("[0-9]").cast("int") + ((v["ref"] != "") & F.contains(T.number_token(s), v["ref"])).cast("int")
+            effort = 6 - F.greatest(F.lit(1), F.floor(words / 6).cast("int"))
+            return F.struct((i + 1).cast("int").alias("step_id"), clamp(points).alias("score"), clamp(effort).alias("efficiency"))
+
+        return T.let(F.struct(T.ws(s).alias("text"), T.number_token(reference).alias("ref")), scored)
 
     return F.transform(steps, one)
 
 
+def step_records(steps: Column, scores: Column, reason: Column) -> Column:
+    """Scored steps: array of struct(step_id, text, scores, short_reason); a step without scores has zeros."""
+    zeros = F.array(*(F.lit(0e0) for _ in DIMENSIONS))
+    five = lambda i: F.coalesce(F.try_element_at(scores, i + 1), zeros)
+    named = lambda v: F.struct(*(F.coalesce(F.get(v, k), F.lit(0e0)).alias(d) for k, d in enumerate(DIMENSIONS)))
+    return F.transform(steps, lambda s, i: F.struct((i + 1).cast("int").alias("step_id"), s.alias("text"), T.let(five(i), named).alias("scores"), reason.alias("short_reason")))
+
+
+def fallback_report(steps: Column, reference: Column, final: Column) -> Column:
+    """struct(scores, texts, step_score_mean, step_score_sum, final_answer_correct) without a model; an answer without steps is one step of fixed scores."""
+    correct = N.is_correct(final, reference)
+    # The scores of an answer without steps.
+    bare = F.array(F.array(F.when(correct, 1e0).otherwise(0.4), F.lit(0.6), F.lit(0.8), F.lit(0.4), F.lit(0.8)))
+    scores = F.when(F.size(steps) > 0, F.transform(fallback_step_scores(steps, reference), lambda v: F.array(v["score"], v["score"], v["score"], v["score"], v["efficiency"]))).otherwise(bare)
+    texts = F.when(F.size(steps) > 0, steps).otherwise(F.array(T.ws(final)))
+
+    def told(s):
+        total = F.aggregate(s, F.lit(0e0), lambda acc, v: acc + F.aggregate(v, F.lit(0e0), lambda a, x: a + x) / 5)
+        return F.struct(s.alias("scores"), texts.alias("texts"), F.round(total / F.size(s), 4).alias("step_score_mean"), F.round(total, 4).alias("step_score_sum"), correct.alias("final_answer_correct"))
+
+    return T.let(scores, told)
+
+
+def evaluation_verdict(verdict: Column, scores: Column) -> Column:
+    """struct(overall, passed) of a model's five scores (correctness and difficulty_match among the fields)."""
+    total = sum((scores[d] for d in EVALUATED[1:]), scores[EVALUATED[0]]) / len(EVALUATED)
+    said = F.lower(F.trim(F.coalesce(verdict, F.lit("fail"))))
+    said = F.when(said != "", said).when(total >= 4, "pass").otherwise("fail")
+    return F.struct(said.alias("verdict"), F.round(total, 3).alias("overall_score"), ((said == "pass") & (total >= 4) & (scores["correctness"] >= 4) & (scores["difficulty_match"] >= 3)).alias("passed"))
+
+
 def training_records(candidates: DataFrame, has_passed: bool) -> DataFrame:
     """(question, steps, solution, answer[, passed]) -> question and output of the rows fit for training.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
@@ -20,7 +20,7 @@ def read(spark: SparkSession, path: str, schema: T.StructType | str, tolerant: b
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     if not tolerant:
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
@@ -29,10 +29,17 @@ def read(spark: SparkSession, path: str, schema: T.StructType | str, tolerant: b
 
 
 def read_document(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A file that holds one JSON value (an array gives a row for each object)."""
+    """A file that holds one JSON value (an array gives a row for each object); a missing file is an empty table."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def numbered(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """The rows of a JSON-lines file with ``ord``, which grows in input order (Spark numbers the parts of a file in their order)."""
+    return read(spark, path, schema).withColumn("ord", F.monotonically_increasing_id())
+
+
 def load(spark: SparkSession, path: str, schema) -> DataFrame:
     """By suffix: .jsonl as lines, anything else as a document."""
     return read(spark, path, schema) if path.endswith(".jsonl") else read_document(spark, path, schema)
