@@ -249,6 +249,37 @@ def test_suffix_dedup_names_copies_by_row(spark):
     assert got == sorted(want, key=repr)
 
 
+def test_suffix_dedup_of_a_common_passage(spark):
+    """A passage of all documents, some of which have no id or share one, against all strings."""
+    rng = random.Random(21)
+    passage = prose(rng, 30)
+    listed = [(rng.choice([None, 3, i, i, i]), prose(rng, rng.randint(0, 12)) + " " + passage[rng.randrange(20) :] + prose(rng, rng.randint(0, 9))) for i in range(400)]
+    first = {}
+    for i, t in listed:
+        b = t.encode()
+        for p in range(len(b) - 49):
+            first[b[p : p + 50]] = min(first.get(b[p : p + 50], suffix.NO_ID), suffix.NO_ID if i is None else i)
+    want = []
+    for i, t in listed:
+        b = t.encode()
+        gone = bytearray(len(b))
+        for p in range(len(b) - 49):
+            if first[b[p : p + 50]] < (suffix.NO_ID if i is None else i):
+                gone[p : p + 50] = b"\1" * 50
+        want.append((i, len(b), sum(gone)))
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"]) for r in suffix.remove_repeats(spark.createDataFrame(listed, "doc_id long, text string")).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_equal_hashes_of_stretches_are_verified():
+    data = np.frombuffer(b"a" * 60 + b"b" * 60 + b"a" * 60, np.uint8)
+    start, length, left = np.array([0, 60, 120]), np.array([60, 60, 60]), np.array([5, 5, 5])
+    lead, of = suffix.same_stretches(data, start, length, left, np.array([7, 7, 7], np.uint64))
+    assert len(lead) == 2 and of[0] == of[2] != of[1]
+    lead, of = suffix.same_stretches(data, start, length, left, np.array([7, 8, 7], np.uint64))
+    assert len(lead) == 2 and of[0] == of[2] != of[1]
+
+
 def test_suffix_order():
     rng = np.random.default_rng(2)
     data = rng.integers(97, 99, 400).astype(np.uint8)

@@ -7,19 +7,22 @@ anchors.  Three steps, each dealt by hash over as many parts as the bytes ask fo
 
 Exact copies of a document with a smaller doc_id are removed whole and take no part.
 
-1. Anchors: each document sends its anchors' hashes; those that two different texts
-   have go back to the documents' parts.
-2. Suffix sort: each document sends the bytes around its shared anchors (equal ones
-   of a part once).  Per anchor, the suffixes that begin at it, and the reversed
+1. Anchors: each part sends the hashes of its documents' anchors, each once; those that
+   two different texts have go back to the parts.
+2. Suffix sort: each part sends the bytes around its shared anchors, equal ones once
+   with their smallest document; where they stand stays with the part.  Per anchor, the suffixes that begin at it, and the reversed
    prefixes that end there, are merge-sorted; two suffixes are compared by the
    length of their common extension, found by binary search on prefix polynomial
    hashes; the final neighbours' extensions are verified on the bytes (on a hash
    collision the bytes are sorted themselves).  A string of the run is then a pair of
    intervals of the two orders, and its smallest document is a grouped minimum.
-3. Marks: what a smaller document also has goes back to the documents.
+3. Marks: which document has a stretch's strings first goes back to the parts that sent it.
 
-A task holds one part: about ``PART_BYTES`` of text, or the anchors or contexts of
-as much; work inside it goes on in pieces of ``CHUNK_BYTES``.
+A task holds one part: about ``PART_BYTES`` of text, or the anchors or stretches of
+as much; work inside it goes on in pieces of ``CHUNK_BYTES``.  However many documents
+share a passage, a part sends it once, so the group of its anchor grows by about a
+hundred bytes with each ``PART_BYTES`` of text.  Equal hashes of stretches, as of
+suffixes, are verified on the bytes.
 
 Defined cases: null text is empty; texts under ``width`` bytes lose nothing; rows
 with a null doc_id come after all others and are not compared with each other;
@@ -32,11 +35,10 @@ import hashlib
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, table, text_chunks
+from .common import CHUNK_BYTES, materialize, split_join, table, written
 from .rolling import Prefix, mixed
 
 WIDTH = 50
@@ -104,59 +106,60 @@ def _slot(gram: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return (gram % np.uint64(buckets)).astype(np.int64), (gram >> np.uint64(32)).astype(np.uint32)
 
 
-def _send(buckets: int, parts: int):
-    """Per bucket, the anchors of a chunk of documents, as (hash, text, part) entries."""
-    wide = np.uint16 if parts <= 1 << 16 else np.uint32
-
-    def run(batches):
-        for chunk in text_chunks(batches):
-            texts = [t or b"" for t in chunk.column("text").cast(pa.binary()).to_pylist()]
-            code, part = (chunk.column(c).to_numpy().astype(np.uint32) for c in ("code", "part"))
-            pairs = []
-            for index, _, data, lengths in pieces(texts):
-                owner, _, gram, _, _ = anchors(data, lengths)
-                pairs.append(np.stack([gram, index[owner].astype(np.uint64)]))
-            gram, row = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.uint64)
-            bucket, name = _slot(gram, buckets)
-            doc, part = code[row.astype(np.int64)], part[row.astype(np.int64)]
-            # A text of a part sends an anchor once.
-            order = np.lexsort((part, doc, name, bucket))
-            bucket, name, doc, part = bucket[order], name[order], doc[order], part[order]
-            fresh = np.ones(len(order), bool)
-            fresh[1:] = (bucket[1:] != bucket[:-1]) | (name[1:] != name[:-1]) | (doc[1:] != doc[:-1]) | (part[1:] != part[:-1])
-            bucket, name, doc, part = bucket[fresh], name[fresh], doc[fresh], part[fresh].astype(wide)
-            edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else []
-            rows = list(zip(edge[:-1], edge[1:])) if len(bucket) else []
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(bucket[a]) for a, _ in rows], pa.int64()), *(pa.array([v[a:b].tobytes() for a, b in rows], pa.binary()) for v in (name, doc, part))],
-                names=["bucket", "names", "codes", "parts"],
-            )
-
-    return run
+def _edges(*keys: np.ndarray) -> np.ndarray:
+    """Where a run of equal keys begins in sorted arrays, and their end."""
+    n = len(keys[0])
+    if not n:
+        return np.zeros(1, np.int64)
+    change = np.zeros(n, bool)
+    change[0] = True
+    for k in keys:
+        change[1:] |= k[1:] != k[:-1]
+    return np.append(np.flatnonzero(change), n)
 
 
-def _shared(parts: int):
-    """The anchors of a bucket that more than one text has, back to the documents' parts."""
-    wide = np.uint16 if parts <= 1 << 16 else np.uint32
+def _send(buckets: int):
+    """Per bucket, the anchors of a part of documents as (name, hash of the text): an anchor's smallest and largest hash only."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        name, code = (np.frombuffer(b"".join(pdf[c]), np.uint32) for c in ("names", "codes"))
-        part = np.frombuffer(b"".join(pdf["parts"]), wide)
-        order = np.argsort(name, kind="stable")
-        name, code, part = name[order], code[order], part[order]
-        first = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]])) if len(name) else np.zeros(0, int)
-        several = np.minimum.reduceat(code, first) != np.maximum.reduceat(code, first) if len(name) else np.zeros(0, bool)
-        keep = np.repeat(several, np.diff(np.append(first, len(name))))
-        name, code, part = name[keep], code[keep], part[keep]
-        order = np.argsort(part, kind="stable")
-        name, code, part = name[order], code[order], part[order]
-        edge = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else [0]
-        rows = [(int(part[a]), int(pdf["bucket"].iloc[0]), name[a:b].tobytes(), code[a:b].tobytes()) for a, b in zip(edge[:-1], edge[1:])]
-        return pd.DataFrame(rows, columns=["part", "bucket", "names", "codes"])
+        texts = [t or b"" for t in pdf["text"]]
+        code, found = pdf["code"].to_numpy(np.int64).view(np.uint64), [np.zeros((2, 0), np.uint64)]
+        for index, _, data, lengths in pieces(texts):
+            owner, _, gram, _, _ = anchors(data, lengths)
+            found.append(np.stack([gram, code[index[owner]]]))
+        gram, code = np.concatenate(found, axis=1)
+        bucket, name = _slot(gram, buckets)
+        order = np.lexsort((code, name, bucket))
+        bucket, name, code = bucket[order], name[order], code[order]
+        edge = _edges(bucket, name)
+        first, last = edge[:-1], edge[1:] - 1
+        keep = np.unique(np.concatenate([first, last[code[last] != code[first]]]))
+        bucket, name, code = bucket[keep], name[keep], code[keep]
+        edge = _edges(bucket)
+        part = int(pdf["part"].iloc[0])
+        rows = [(int(bucket[a]), part, name[a:b].tobytes(), code[a:b].tobytes()) for a, b in zip(edge[:-1], edge[1:])]
+        return pd.DataFrame(rows, columns=["bucket", "part", "names", "codes"])
 
     return run
 
 
+def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The anchors of a bucket that more than one text has, back to the parts that have them."""
+    name, code = np.frombuffer(b"".join(pdf["names"]), np.uint32), np.frombuffer(b"".join(pdf["codes"]), np.uint64)
+    part = np.repeat(pdf["part"].to_numpy(), [len(n) // 4 for n in pdf["names"]])
+    order = np.argsort(name, kind="stable")
+    name, code, part = name[order], code[order], part[order]
+    edge = _edges(name)
+    several = np.minimum.reduceat(code, edge[:-1]) != np.maximum.reduceat(code, edge[:-1]) if len(name) else np.zeros(0, bool)
+    keep = np.repeat(several, np.diff(edge))
+    name, part = name[keep], part[keep]
+    order = np.lexsort((name, part))
+    name, part = name[order], part[order]
+    edge, bucket = _edges(part), int(pdf["bucket"].iloc[0])
+    rows = [(int(part[a]), bucket, np.unique(name[a:b]).tobytes()) for a, b in zip(edge[:-1], edge[1:])]
+    return pd.DataFrame(rows, columns=["part", "bucket", "names"])
+
+
 def _copies(docs: pd.DataFrame, extra: pd.DataFrame) -> np.ndarray:
     """Which of the part's rows are exact copies; these come in rows of their own, as id and SHA-256 of the text."""
     named = {bytes(c) for x in extra["copies"] if x is not None for c in x}
@@ -165,15 +168,36 @@ def _copies(docs: pd.DataFrame, extra: pd.DataFrame) -> np.ndarray:
     return np.array([k in ids and k + hashlib.sha256(t or b"").digest() in named for k, t in zip(keys, docs["text"])], bool)
 
 
-def _ordered(docs: pd.DataFrame, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Ids, codes and texts of a part without its copies, in an order that only depends on its rows."""
+def _ordered(docs: pd.DataFrame, copies: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Ids and texts of a part without its copies, in an order that only depends on its rows."""
     docs = docs[~copies]
     docs = docs.assign(text=[t or b"" for t in docs["text"]]).sort_values(["id", "text"], ignore_index=True)
-    return docs["id"].to_numpy(), docs["code"].to_numpy().astype(np.uint32), docs["text"].tolist()
+    return docs["id"].to_numpy(), docs["text"].tolist()
+
+
+def same_stretches(data: np.ndarray, start: np.ndarray, length: np.ndarray, left: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Leads and, for each stretch of bytes, its lead; equal hashes are verified on the bytes."""
+    _, lead, of = np.unique(key, return_index=True, return_inverse=True)
+    column = np.arange(WIDTH + REACH)
+    padded = np.append(data, np.zeros(len(column), np.uint8))
+    row = lambda at: np.where(column < length[at][:, None], padded[start[at][:, None] + column], 0)
+    other = np.flatnonzero(lead[of] != np.arange(len(key)))
+    for at in range(0, len(other), 65_536):
+        a = other[at : at + 65_536]
+        b = lead[of[a]]
+        if (length[a] != length[b]).any() or (left[a] != left[b]).any() or (row(a) != row(b)).any():
+            whole = np.concatenate([length[:, None], left[:, None], row(np.arange(len(key)))], axis=1)
+            _, lead, of = np.unique(whole, axis=0, return_index=True, return_inverse=True)
+            return lead, of.ravel()
+    return lead, of
+
+
+def _key(prefix: Prefix, start: np.ndarray, run: np.ndarray, left: np.ndarray) -> np.ndarray:
+    return mixed(prefix.of(start, start + run + WIDTH) + (left << 8 | run).astype(np.uint64))
 
 
 def _contexts(buckets: int):
-    """The bytes around a part's shared anchors, per bucket; equal ones once, with all their places."""
+    """The bytes around a part's shared anchors, per bucket: equal ones once, with their smallest document and whether they have more; and all their places."""
 
     def run(docs: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -181,53 +205,53 @@ def _contexts(buckets: int):
         shared = shared[shared["names"].notna()]
         if len(docs) and len(shared):
             part = int(docs["part"].iloc[0])
-            ids, code, texts = _ordered(docs, copies)
-            wanted = np.unique(np.concatenate([_wanted(np.full(len(n) // 4, b, np.uint64), np.frombuffer(n, np.uint32), np.frombuffer(c, np.uint32)) for b, n, c in zip(shared["bucket"], shared["names"], shared["codes"])]))
+            ids, texts = _ordered(docs, copies)
+            wanted = np.unique(np.concatenate([(np.uint64(b) << np.uint64(32)) | np.frombuffer(n, np.uint32).astype(np.uint64) for b, n in zip(shared["bucket"], shared["names"])]))
             for index, offset, data, lengths in pieces(texts):
                 owner, at, gram, first, last = anchors(data, lengths)
                 bucket, name = _slot(gram, buckets)
-                keys = _wanted(bucket.astype(np.uint64), name, code[index[owner]])
+                keys = (bucket.astype(np.uint64) << np.uint64(32)) | name.astype(np.uint64)
                 found = np.searchsorted(wanted, keys)
                 keep = np.flatnonzero(wanted[np.minimum(found, len(wanted) - 1)] == keys)
                 if not len(keep):
                     continue
                 owner, at, gram, first, last, bucket = owner[keep], at[keep], gram[keep], first[keep], last[keep], bucket[keep]
-                begin = np.cumsum(lengths) - lengths
-                prefix = Prefix(data)
-                whole = mixed(prefix.of(first, last + WIDTH) + (at - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (last - first).astype(np.uint64))
-                order = np.lexsort((whole, bucket))
-                fresh = np.flatnonzero(np.concatenate([[True], (whole[order][1:] != whole[order][:-1]) | (bucket[order][1:] != bucket[order][:-1])]))
-                item = np.cumsum(np.isin(np.arange(len(order)), fresh)) - 1
-                lead = order[fresh]
-                place = at - begin[owner] + offset[owner]
-                text = index[owner]
-                edge = np.flatnonzero(np.concatenate([[True], bucket[lead][1:] != bucket[lead][:-1], [True]]))
-                ends = np.append(fresh, len(order))
+                run_, left = last - first, at - first
+                lead, of = same_stretches(data, first, run_ + WIDTH, left, _key(Prefix(data), first, run_, left))
+                text, place = index[owner], at - (np.cumsum(lengths) - lengths)[owner] + offset[owner]
+                low, high = np.full(len(lead), NO_ID), np.full(len(lead), np.iinfo(np.int64).min)
+                np.minimum.at(low, of, ids[text])
+                np.maximum.at(high, of, ids[text])
+                # Stretches and places in the order of their buckets.
+                by = np.argsort(bucket[lead], kind="stable")
+                rank = np.empty(len(lead), np.int64)
+                rank[by] = np.arange(len(lead))
+                lead, low, high, of = lead[by], low[by], high[by], rank[of]
+                places = np.argsort(of, kind="stable")
+                edge, ends = _edges(bucket[lead]), np.searchsorted(of[places], np.arange(len(lead) + 1))
                 for a, b in zip(edge[:-1], edge[1:]):
-                    mine, places = lead[a:b], order[ends[a] : ends[b]]
+                    mine, mark = lead[a:b], places[ends[a] : ends[b]]
                     out.append(
                         (
                             part,
                             int(bucket[mine[0]]),
                             b"".join(data[f : l + WIDTH].tobytes() for f, l in zip(first[mine], last[mine])),
-                            (last[mine] - first[mine]).astype(np.uint8).tobytes(),
-                            (at[mine] - first[mine]).astype(np.uint8).tobytes(),
+                            run_[mine].astype(np.uint8).tobytes(),
+                            left[mine].astype(np.uint8).tobytes(),
                             gram[mine].tobytes(),
-                            (item[ends[a] : ends[b]] - a).astype(np.uint32).tobytes(),
-                            text[places].astype(np.uint32).tobytes(),
-                            place[places].astype(np.uint32).tobytes(),
-                            ids[text[places]].tobytes(),
+                            low[a:b].tobytes(),
+                            (high[a:b] > low[a:b]).astype(np.uint8).tobytes(),
+                            len(out),
+                            (of[mark] - a).astype(np.uint32).tobytes(),
+                            text[mark].astype(np.uint32).tobytes(),
+                            place[mark].astype(np.uint32).tobytes(),
                         )
                     )
-        return pd.DataFrame(out, columns=["part", "bucket", "bytes", "runs", "lefts", "grams", "items", "rows", "places", "ids"])
+        return pd.DataFrame(out, columns=["part", "bucket", "bytes", "runs", "lefts", "grams", "lows", "several", "nth", "items", "rows", "places"])
 
     return run
 
 
-def _wanted(bucket: np.ndarray, name: np.ndarray, code: np.ndarray) -> np.ndarray:
-    return mixed(mixed((bucket << np.uint64(32)) | name.astype(np.uint64)) + code.astype(np.uint64))
-
-
 class Suffixes:
     """Suffixes of a buffer, by start and length, compared through prefix hashes."""
 
@@ -346,45 +370,60 @@ def smallest_documents(data: np.ndarray, start: np.ndarray, run: np.ndarray, lef
 
 
 def _marks(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Per part, the places of a bucket's anchors with a bit for each string that a smaller document has."""
+    """Per part, the stretches of a bucket that lose something: for their strings, in runs, the smallest document that has them."""
     data = np.frombuffer(b"".join(pdf["bytes"]), np.uint8)
-    run, left = (np.frombuffer(b"".join(pdf[c]), np.uint8).astype(np.int64) for c in ("runs", "lefts"))
-    gram = np.frombuffer(b"".join(pdf["grams"]), np.uint64)
-    base = np.cumsum([0, *(len(x) for x in pdf["runs"])])[:-1]
-    counts = [len(x) // 4 for x in pdf["items"]]
-    item = np.frombuffer(b"".join(pdf["items"]), np.uint32).astype(np.int64) + np.repeat(base, counts)
-    row, place = (np.frombuffer(b"".join(pdf[c]), np.uint32) for c in ("rows", "places"))
-    doc, part = np.frombuffer(b"".join(pdf["ids"]), np.int64), np.repeat(pdf["part"].to_numpy(), counts)
+    run, left, several = (np.frombuffer(b"".join(pdf[c]), np.uint8).astype(np.int64) for c in ("runs", "lefts", "several"))
+    gram, low = np.frombuffer(b"".join(pdf["grams"]), np.uint64), np.frombuffer(b"".join(pdf["lows"]), np.int64)
     start = np.concatenate([[0], np.cumsum(run + WIDTH)[:-1]])
-    first = np.full(len(run), NO_ID)
-    np.minimum.at(first, item, doc)
     # Equal stretches of different parts are one item.
-    whole = mixed(Prefix(data).of(start, start + run + WIDTH) + (left << 8 | run).astype(np.uint64)) ^ mixed(gram)
-    _, lead, of = np.unique(whole, return_index=True, return_inverse=True)
-    low = np.full(len(lead), NO_ID)
-    np.minimum.at(low, of, first)
-    best = smallest_documents(data, start[lead], run[lead], left[lead], gram[lead], low)
-    item = of[item]
-    mask = np.zeros(len(item), np.uint32)
-    for o in range(REACH + 1):
-        mask |= (best[item, o] < doc).astype(np.uint32) << np.uint32(o)
-    keep = np.flatnonzero(mask)
-    order = keep[np.argsort(part[keep], kind="stable")]
-    part = part[order]
-    edge = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else [0]
-    rows = [(int(part[a]), *(v[order[a:b]].tobytes() for v in (row, place, mask))) for a, b in zip(edge[:-1], edge[1:])]
-    return pd.DataFrame(rows, columns=["part", "rows", "places", "masks"])
+    lead, of = same_stretches(data, start, run + WIDTH, left, _key(Prefix(data), start, run, left) ^ mixed(gram))
+    least = np.full(len(lead), NO_ID)
+    np.minimum.at(least, of, low)
+    best = smallest_documents(data, start[lead], run[lead], left[lead], gram[lead], least)
+    rows, begin = [], 0
+    for part, bucket, nth, n in zip(pdf["part"], pdf["bucket"], pdf["nth"], map(len, pdf["runs"])):
+        mine = of[begin : begin + n]
+        held = np.flatnonzero((best[mine] < low[begin : begin + n, None]).any(1) | ((several[begin : begin + n] > 0) & (best[mine] < NO_ID).any(1)))
+        begin += n
+        if len(held):
+            table = best[mine[held]]
+            change = np.ones(table.shape, bool)
+            change[:, 1:] = table[:, 1:] != table[:, :-1]
+            rows.append((int(part), int(bucket), int(nth), held.astype(np.uint32).tobytes(), change.sum(1).astype(np.uint8).tobytes(), np.nonzero(change)[1].astype(np.uint8).tobytes(), table[change].tobytes()))
+    return pd.DataFrame(rows, columns=["part", "bucket", "nth", "held", "counts", "offsets", "values"])
+
+
+def _starts(places: pd.DataFrame, marks: pd.DataFrame, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and begins of the part's strings that a smaller document has, sorted by row."""
+    rows, begins = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    told = {(b, n): (h, c, o, v) for b, n, h, c, o, v in zip(marks["bucket"], marks["nth"], marks["held"], marks["counts"], marks["offsets"], marks["values"])}
+    for bucket, nth, items, row, place in zip(places["bucket"], places["nth"], places["items"], places["rows"], places["places"]):
+        if (found := told.get((bucket, nth))) is None:
+            continue
+        held, counts, offsets, values = (np.frombuffer(x, t) for x, t in zip(found, (np.uint32, np.uint8, np.uint8, np.int64)))
+        # Each run of strings holds from its offset to the next run's.
+        until = np.append(offsets[1:], 0).astype(np.int64)
+        until[np.cumsum(counts) - 1] = REACH + 1
+        table = np.repeat(values, until - offsets).reshape(len(held), REACH + 1)
+        item, row, place = (np.frombuffer(x, np.uint32).astype(np.int64) for x in (items, row, place))
+        at = np.minimum(np.searchsorted(held, item), len(held) - 1)
+        keep = np.flatnonzero(held[at] == item)
+        for a in range(0, len(keep), 65_536):
+            k = keep[a : a + 65_536]
+            which, offset = np.nonzero(table[at[k]] < ids[row[k]][:, None])
+            rows.append(row[k][which])
+            begins.append(place[k][which] - offset)
+    row, begin = np.concatenate(rows), np.concatenate(begins)
+    order = np.argsort(row, kind="stable")
+    return row[order], begin[order]
 
 
-def _removed(docs: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+def _removed(docs: pd.DataFrame, extra: pd.DataFrame) -> pd.DataFrame:
     if not len(docs):
         return pd.DataFrame({"doc_id": pd.Series(dtype="Int64"), "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []})
-    copies = _copies(docs, marks)
-    marks = marks[marks["rows"].notna()]
-    ids, _, texts = _ordered(docs, copies)
-    row, place, mask = (np.frombuffer(b"".join(marks[c]), np.uint32).astype(np.int64) for c in ("rows", "places", "masks"))
-    order = np.argsort(row, kind="stable")
-    row, place, mask = row[order], place[order], mask[order]
+    copies = _copies(docs, extra)
+    ids, texts = _ordered(docs, copies)
+    row, begin = _starts(extra[extra["items"].notna()], extra[extra["held"].notna()], ids)
     edge = np.searchsorted(row, np.arange(len(ids) + 1))
     out = []
     for at, text in enumerate(texts):
@@ -392,9 +431,7 @@ def _removed(docs: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
         kept = text
         a, b = edge[at], edge[at + 1]
         if a < b:
-            begin, bit = np.nonzero(mask[a:b, None] >> np.arange(REACH + 1) & 1)
-            begin = place[a:b][begin] - bit
-            change = np.bincount(begin, minlength=len(text) + 1) - np.bincount(begin + WIDTH, minlength=len(text) + 1)
+            change = np.bincount(begin[a:b], minlength=len(text) + 1) - np.bincount(begin[a:b] + WIDTH, minlength=len(text) + 1)
             gone = np.cumsum(change)[:-1] > 0
             removed, spans = int(gone.sum()), int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
             kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
@@ -410,24 +447,28 @@ def remove_repeats(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(LEAST_PARTS, size // part_bytes + 1)
     buckets = 2 * parts
-    code = F.pmod(F.xxhash64("text"), F.lit(1 << 32))
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(parts))
+    code = F.xxhash64("text")
+    # Null and repeated doc_ids are dealt by their texts.
+    part = F.pmod(F.xxhash64("doc_id", code), F.lit(parts))
     held = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("binary").alias("text"), code.alias("code"), part.alias("part"))
     keyed = held.filter(F.octet_length("text") >= WIDTH).select("id", "part", F.sha2("text", 256).alias("sum"))
     first = keyed.groupBy("sum").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("sum", "least")
     # An id alone does not name a row: null doc_ids share NO_ID, and a doc_id may stand on rows of different texts.
     named = F.concat(F.unhex(F.lpad(F.hex("id"), 16, "0")), F.unhex("sum"))
-    copies = keyed.join(first, "sum").filter("id > least").groupBy("part").agg(F.collect_set(named).alias("copies"))
+    copies = split_join(keyed, materialize(first), ["sum"], F.col("id")).filter("id > least").groupBy("part").agg(F.collect_set(named).alias("copies"))
 
     def with_copies(rows: DataFrame) -> DataFrame:
         return rows.withColumn("copies", F.lit(None).cast("array<binary>")).unionByName(copies, allowMissingColumns=True)
 
-    sent = held.select("text", "code", "part").mapInArrow(_send(buckets, parts), "bucket long, names binary, codes binary, parts binary")
-    shared = sent.groupBy("bucket").applyInPandas(_shared(parts), "part long, bucket long, names binary, codes binary")
-    context = "part long, bucket long, bytes binary, runs binary, lefts binary, grams binary, items binary, rows binary, places binary, ids binary"
-    around = held.groupBy("part").cogroup(with_copies(shared).groupBy("part")).applyInPandas(_contexts(buckets), context)
-    marks = around.groupBy("bucket").applyInPandas(_marks, "part long, rows binary, places binary, masks binary")
-    return held.groupBy("part").cogroup(with_copies(marks).groupBy("part")).applyInPandas(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    by_part = held.groupBy("part")
+    sent = by_part.applyInPandas(_send(buckets), "bucket long, part long, names binary, codes binary")
+    shared = sent.groupBy("bucket").applyInPandas(_shared, "part long, bucket long, names binary")
+    context = "part long, bucket long, bytes binary, runs binary, lefts binary, grams binary, lows binary, several binary, nth long, items binary, rows binary, places binary"
+    # Stretches go to their buckets, places stay with their part; both come from one stored table.
+    around = written(by_part.cogroup(with_copies(shared).groupBy("part")).applyInPandas(_contexts(buckets), context), "stretches")
+    marks = around.select("part", "bucket", "nth", "bytes", "runs", "lefts", "grams", "lows", "several").groupBy("bucket").applyInPandas(_marks, "part long, bucket long, nth long, held binary, counts binary, offsets binary, values binary")
+    back = around.select("part", "bucket", "nth", "items", "rows", "places").unionByName(marks, allowMissingColumns=True)
+    return by_part.cogroup(with_copies(back).groupBy("part")).applyInPandas(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
