@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LEARN_BYTES, LEARN_TOTAL, TokenTable, bucket_of, table, text_chunks, texts_within
+from .common import LEARN_BYTES, LEARN_TOTAL, TokenTable, bounded, bucket_of, materialize, table, text_chunks, texts_within
 
 MODULUS, HELD = 4, 2
 SAMPLE = 1_500
@@ -214,7 +214,7 @@ class LanguageModel:
 def train(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
     """Fits on about ``sample`` documents per language, those with the smallest hashes of doc_id."""
     free = docs.select("lang", "doc_id", F.xxhash64("text").alias("_h"), F.octet_length("text").alias("_n")).filter(F.col("lang").isNotNull() & (bucket_of(F.col("doc_id"), MODULUS) != HELD))
-    sizes = free.groupBy("lang").agg((F.lit(float(sample)) / F.count(F.lit(1))).alias("_part"))
+    sizes = bounded(materialize(free.groupBy("lang").agg((F.lit(float(sample)) / F.count(F.lit(1))).alias("_part"))))
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     rows = free.filter(F.col("_n") <= LEARN_BYTES).join(sizes, "lang").filter(chance < F.col("_part")).select("lang", "doc_id", "_h", "_n")
     rows = rows.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "_h", "lang").limit(SAMPLE_ROWS).collect()
