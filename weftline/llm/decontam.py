@@ -89,9 +89,16 @@ def occurrences(index: DataFrame, windows: DataFrame, terms: DataFrame, least: f
     places = materialize(places.distinct() if least < 1 else places)
 
     def intersected(places: DataFrame, others: DataFrame) -> DataFrame:
-        """Adds ``met``: the other lists that hold the place."""
+        """Adds ``met``: the other lists that hold the place.
+
+        Lists that no place asks for, and lists of documents without a place, stay where they are.
+        """
+        lists = index.select("rid", "t", "pos").join(bounded(materialize(others.select("t").distinct())), "t", "left_semi")
+        asked_rows = materialize(places.select("rid").distinct())
+        if (few := bounded(asked_rows)) is not asked_rows:
+            lists = lists.join(few, "rid", "left_semi")
         wanted = bounded(materialize(places.join(others, "wid").select("rid", "t", (F.col("start") + F.col("offset")).alias("pos"), "wid", "start")))
-        return index.select("rid", "t", "pos").join(wanted, ["rid", "t", "pos"]).groupBy("rid", "wid", "start").agg(F.count(F.lit(1)).alias("met"))
+        return lists.join(wanted, ["rid", "t", "pos"]).groupBy("rid", "wid", "start").agg(F.count(F.lit(1)).alias("met"))
 
     sizes = asked.select("wid", "length", "need").distinct()
     if least < 1:
