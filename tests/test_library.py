@@ -157,3 +157,19 @@ def test_audits_and_refinements_are_read():
     a = jsonx.audit('{"question_valid": "yes", "estimated_step_count": "x", "first_error_step": "2", "repair_action": "pass", "short_reason": " a  b "}')
     assert (a["question_valid"], a["solvable"], a["estimated_step_count"], a["first_error_step"], a["estimated_difficulty"], a["repair_action"], a["short_reason"], a["error"]) == (True, False, 0, 2, "Equal", "pass", "a b", "")
     assert jsonx.refined('{"steps": ["a", " "]}')["steps"] == ["a"] and jsonx.refined("{}")["error"] and jsonx.refined('{"steps": []}')["error"]
+
+
+def test_places_in_ranges(spark):
+    rng = random.Random(8)
+    rows = [(f"{rng.randint(0, 10**6)}-{i}", rng.choice(["a", "b"])) for i in range(500)]
+    got = {r["card_id"]: (r["card_bucket"], r["at"]) for r in planning.places(spark.createDataFrame(rows, "task_id string, bucket string"), 40).collect()}
+    assert got == {i: (b, sorted(x for x, y in rows if y == b).index(i)) for i, b in rows}
+
+
+def test_the_heaviest_rows(spark):
+    rng = random.Random(9)
+    rows = [(i, rng.choice([0.5, 0.5, rng.random()])) for i in range(600)]
+    df = spark.createDataFrame(rows, "ord long, weight double")
+    order = [i for i, _ in sorted(rows, key=lambda r: (-r[1], r[0]))]
+    for n in (0, 1, 250, 599, 600):
+        assert sorted(r["ord"] for r in quota.heaviest(df, n, most=7, bins=5).collect()) == sorted(order[:n])

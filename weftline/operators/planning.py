@@ -181,13 +181,35 @@ def peers(kb: DataFrame, key: str, most: int = 6) -> DataFrame:
     return rows.select("task_id", F.transform(F.slice(ranked, 1, most), lambda s: s["id"]).alias("peer_ids"))
 
 
+def places(cards: DataFrame, most: int = 200_000) -> DataFrame:
+    """(task_id, bucket) -> card_id, card_bucket and at, the card's place in its bucket in id order.
+
+    Ids are cut into ranges of about ``most`` cards at ids that the cards' hashes choose;
+    a window numbers one range of a bucket, and the ranges before it are counted.
+    """
+    n = cards.count()
+    blocks = n // most + 1
+    cuts: list = []
+    if blocks > 1:
+        part = max(1, n // (20 * blocks))
+        seen = sorted(r[0] for r in cards.filter(F.pmod(F.xxhash64("task_id"), F.lit(part)) == 0).select("task_id").collect())
+        cuts = seen[:: max(1, len(seen) // blocks)]
+    block = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("task_id"))) if cuts else F.lit(0)
+    cut = cards.select(F.col("task_id").alias("card_id"), F.col("bucket").alias("card_bucket"), block.alias("block"))
+    sizes = cut.groupBy(F.col("card_bucket").alias("b"), F.col("block").alias("k")).agg(F.count(F.lit(1)).alias("m"))
+    before = sizes.withColumn("before", F.sum("m").over(Window.partitionBy("b").orderBy("k")) - F.col("m"))
+    inside = F.row_number().over(Window.partitionBy("card_bucket", "block").orderBy("card_id")) - 1
+    joined = cut.withColumn("inside", inside).join(before, (F.col("card_bucket") == F.col("b")) & (F.col("block") == F.col("k")))
+    return joined.select("card_id", "card_bucket", (F.col("before") + F.col("inside")).alias("at"))
+
+
 def priority_pick(seeds: DataFrame, cards: DataFrame) -> DataFrame:
     """Per seed and variant the card of the first bucket in priority that has any, on a hashed ring, not the seed itself if others are there.
 
     seeds: task_id, target_difficulty, target_bucket, variant.  cards: task_id, bucket.
     Cards get their place in their bucket once; a seed's place is computed, not searched.
     """
-    placed = cards.withColumn("at", F.row_number().over(Window.partitionBy("bucket").orderBy("task_id")) - 1).select(F.col("task_id").alias("card_id"), F.col("bucket").alias("card_bucket"), "at")
+    placed = places(cards)
     sizes = {r["bucket"]: r["n"] for r in cards.filter(F.col("bucket").isin(C.BUCKETS)).groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
     by_label = {k.lower(): C.BUCKET_PRIORITY[v] for k, v in C.LABEL_BUCKET.items()}
     label, bucket = F.lower(F.trim("target_difficulty")), F.lower(F.trim("target_bucket"))

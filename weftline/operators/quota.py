@@ -39,12 +39,35 @@ def allocate(seeds: DataFrame, multiplier: float = MULTIPLIER, n_min: int = N_MI
     return out.select("ord", "task_id", "mastery", "category", "weight", "new_total", F.least(F.greatest(raw, F.lit(n_min)), F.lit(n_max)).cast("int").alias("raw_count"))
 
 
+def heaviest(rows: DataFrame, n: int, most: int = 100_000, bins: int = 1000) -> DataFrame:
+    """ord of the first ``n`` rows by weight (then ord): those above a cut that histograms close in on, and a sorted rest of at most ``most`` rows."""
+    sure, open_ = None, rows.select("weight", "ord")
+    while n:
+        r = open_.agg(F.count(F.lit(1)).alias("n"), F.min("weight").alias("a"), F.max("weight").alias("b"), F.min("ord").alias("c"), F.max("ord").alias("d")).first()
+        if r["n"] <= max(n, most) or (r["a"], r["c"]) == (r["b"], r["d"]):
+            last = open_.select("ord") if r["n"] <= n else open_.orderBy(F.col("weight").desc(), "ord").limit(n).select("ord")
+            return last if sure is None else sure.unionByName(last)
+        # Bin 0 comes first; among equal weights the ord decides.
+        place = (F.lit(r["b"]) - F.col("weight")) / F.lit(r["b"] - r["a"]) if r["b"] > r["a"] else (F.col("ord") - F.lit(r["c"])) / F.lit(max(1, r["d"] - r["c"]))
+        binned = open_.withColumn("bin", F.floor(place * bins))
+        held = 0
+        for b, size in sorted((x["bin"], x["count"]) for x in binned.groupBy("bin").count().collect()):
+            if held + size > n:
+                break
+            held += size
+            b += 1
+        above = binned.filter(F.col("bin") < b).select("ord")
+        sure = above if sure is None else sure.unionByName(above)
+        n, open_ = n - held, binned.filter(F.col("bin") == b).select("weight", "ord")
+    return rows.select("ord").limit(0) if sure is None else sure
+
+
 def settle(allocated: DataFrame, n_min: int = N_MIN, n_max: int = N_MAX) -> DataFrame:
     """target_count: the raw counts moved by laps of one unit, in order of weight, until they add up.
 
     In lap k every seed with at least k units of slack moves by one, so full laps
     follow from the histogram of slacks (at most n_max - n_min + 1 rows) and only the
-    last lap needs an order: its first seeds are a sorted limit, not a window over all.
+    last lap needs an order, of which only the cut is looked for.
     """
     spark = allocated.sparkSession
     first = allocated.agg(F.sum("raw_count").alias("s"), F.max("new_total").alias("t")).first()
@@ -66,7 +89,7 @@ def settle(allocated: DataFrame, n_min: int = N_MIN, n_max: int = N_MAX) -> Data
             break
         left, full = left - able, full + 1
     sign = 1 if diff > 0 else -1
-    more = allocated.filter(slack > full).orderBy(F.col("weight").desc(), "ord").limit(rest).select("ord", F.lit(1).alias("one")) if rest else spark.createDataFrame([], "ord long, one int")
+    more = heaviest(allocated.filter(slack > full), rest).withColumn("one", F.lit(1)) if rest else spark.createDataFrame([], "ord long, one int")
     moved = F.least(slack, F.lit(full)) + F.coalesce("one", F.lit(0))
     label = N.difficulty_label(F.col("mastery"))
     return allocated.join(more, "ord", "left").select(
