@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
@@ -13,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import drop_at_exit, shared_folder
+
 #: Bytes of text that one numpy working set may cover; a longer document is a set of its own.
 CHUNK_BYTES = 2_000_000
 
@@ -34,31 +35,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _drop_at_exit(spark: SparkSession, path: str) -> None:
-    """The file system that holds ``path`` deletes it when the driver ends."""
+def drop(spark: SparkSession, path: str) -> None:
+    """Deletes a table that nothing reads any more."""
     held = spark._jvm.org.apache.hadoop.fs.Path(path)
-    held.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(held)
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``.  Where that is unset, a temporary folder in local mode, else an error."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-            named = tempfile.mkdtemp(prefix="weftline-")
-            _drop_at_exit(spark, named)
-        sc.setCheckpointDir(named)
-    return sc._jsc.sc().getCheckpointDir().get()
+    held.getFileSystem(spark._jsc.hadoopConfiguration()).delete(held, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again; the driver's end deletes it."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    _drop_at_exit(spark, path)
+    drop_at_exit(spark, path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
