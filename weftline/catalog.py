@@ -79,8 +79,25 @@ SEED = """seed AS (SELECT *, solution || chr(10) || '#### ' || fin::VARCHAR answ
   l_quantity::BIGINT q, p_size::BIGINT p, p_name, p_type question_type, l_quantity::BIGINT * p_size::BIGINT + CASE WHEN l_linenumber = 3 THEN 1 ELSE 0 END r FROM lineitem JOIN part ON l_partkey = p_partkey))))"""
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of a small file over all cores, for work that is long per row."""
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism, "ord")
+
+
+def folder(spark) -> Folder:
+    """A new folder for a stage's files, gone at the driver's end."""
+    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    drop_at_exit(spark, path)
+    return Folder(spark, path)
+
+
 def known(spark: SparkSession, d: str) -> DataFrame:
-    return K.records(seeds(spark, d).withColumn("solution_steps", F.col("solution")).withColumn("answer", F.col("fin").cast("string")))
+    return K.records(spread(seeds(spark, d)).withColumn("solution_steps", F.col("solution")).withColumn("answer", F.col("fin").cast("string")))
+
+
+def recorded(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Those columns of the records as a table, as a bank reads them more than once."""
+    return folder(spark).keep(known(spark, d).select("ord", "task_id", "question", "question_type", *columns))
 
 
 # -- mastery and quota ------------------------------------------------------------------------------------------------
@@ -358,14 +375,14 @@ def solution_split(spark, d):
 
 @query(f"""WITH {SEED}, u AS (SELECT *, unnest({_UNITS}) term FROM seed) SELECT 'unit' kind, term, count(*) AS cnt, min(task_id) first_id, count(DISTINCT question_type) n_types, least(3, count(*)) n_examples FROM u GROUP BY term""")
 def concept_bank(spark, d):
-    b = K.concept_bank(known(spark, d)).filter("kind = 'unit'")
+    b = K.concept_bank(recorded(spark, d, "scene_template", "persons", "focus_terms", "units")).filter("kind = 'unit'")
     return b.select("kind", "term", F.col("count").alias("cnt"), F.col("first_task_id").alias("first_id"), F.size("question_types").cast("long").alias("n_types"), F.size("examples").cast("long").alias("n_examples"))
 
 
 @query()
 def concept_bank_all_kinds(spark, d):
     """The whole bank; the SQL text of concept_bank has the units only, as SQL can't find persons and focus terms."""
-    b = K.concept_bank(known(spark, d))
+    b = K.concept_bank(recorded(spark, d, "scene_template", "persons", "focus_terms", "units"))
     return b.select("kind", "term", F.col("count").alias("cnt"), F.col("first_task_id").alias("first_id"), F.size("question_types").cast("long").alias("n_types"), F.md5(F.array_join("examples", "|")).alias("examples"))
 
 
@@ -382,7 +399,7 @@ _BUCKET_OF = _DIFF.replace("v <=", f"{_DIFFV} <=")
 @query(f"""WITH {SEED}, x AS (SELECT *, {_TAGS} tags, {_BUCKET_OF} bucket FROM {_SCENE}) SELECT lower(scene) key, count(*) cnt, round(avg(len(regexp_extract_all(solution, '<<'))), 3) avg_step_count, array_to_string(list_sort(list_distinct(list(question_type))), ',') question_types,
  array_to_string(list_sort(list_distinct(flatten(list(tags)))), ',') skill_tags, array_to_string(list_sort(list_distinct(list(bucket))), ',') buckets, array_to_string(list(task_id ORDER BY ord)[1:3], ',') examples, arg_min(m, ord) surface_template FROM x GROUP BY 1""")
 def scene_bank(spark, d):
-    b = K.scene_bank(known(spark, d))
+    b = K.scene_bank(recorded(spark, d, "answer", "surface_template", "scene_template", "scenario_template", "skill_tags", "difficulty_bucket", "step_count"))
     joined = lambda c: F.array_join(c, ",")
     return b.select("key", F.col("count").alias("cnt"), "avg_step_count", joined("question_types").alias("question_types"), joined("skill_tags").alias("skill_tags"), joined("difficulty_buckets").alias("buckets"), joined(F.col("examples.task_id")).alias("examples"), "surface_template")
 
@@ -390,7 +407,7 @@ def scene_bank(spark, d):
 @query(f"""WITH {SEED}, x AS (SELECT *, {_BUCKET_OF} bucket FROM {_SCENE}) SELECT lower(m) key, count(*) cnt, array_to_string(list_sort(list_distinct(list(bucket))), ',') buckets, array_to_string(list_sort(list_distinct(list(question_type))), ',') question_types,
  least(3, count(*)) n_examples, arg_min(scene, ord) scene_template FROM x GROUP BY 1""")
 def template_bank(spark, d):
-    b = K.template_bank(known(spark, d))
+    b = K.template_bank(recorded(spark, d, "surface_template", "scene_template", "scenario_template", "difficulty_bucket"))
     return b.select("key", F.col("count").alias("cnt"), F.array_join("difficulty_buckets", ",").alias("buckets"), F.array_join("question_types", ",").alias("question_types"), F.size("examples").cast("long").alias("n_examples"), "scene_template")
 
 
@@ -399,7 +416,7 @@ def template_bank(spark, d):
  array_to_string(list(task_id ORDER BY ord)[1:3], ',') examples FROM x GROUP BY 1""")
 def knowledge_bank(spark, d):
     joined = lambda c: F.array_join(c, ",")
-    return K.knowledge_bank(known(spark, d)).select(
+    return K.knowledge_bank(recorded(spark, d, "answer", "knowledge_signature", "skill_tags", "operation_sequence", "difficulty_bucket", "step_count")).select(
         "knowledge_signature", F.col("count").alias("cnt"), "avg_step_count", joined("skill_tags").alias("skill_tags"), joined("operation_sequence").alias("operation_sequence"), "difficulty_bucket", joined("question_types").alias("question_types"),
         joined(F.col("examples.task_id")).alias("examples"),
     )
@@ -414,19 +431,19 @@ def knowledge_links(spark, d):
 SELECT knowledge_signature, row_number() OVER (ORDER BY cnt DESC, knowledge_signature)::INT AS place FROM b""")
 def bank_order(spark, d):
     """The order of a bank (a bank of a few signatures)."""
-    listed = K.knowledge_bank(known(spark, d)).agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("n"), "knowledge_signature"))), lambda s: s["knowledge_signature"]).alias("l"))
+    listed = K.knowledge_bank(recorded(spark, d, "answer", "knowledge_signature", "skill_tags", "operation_sequence", "difficulty_bucket", "step_count")).agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("n"), "knowledge_signature"))), lambda s: s["knowledge_signature"]).alias("l"))
     return listed.select(F.posexplode("l").alias("p", "knowledge_signature")).select("knowledge_signature", (F.col("p") + 1).cast("int").alias("place"))
 
 
 @query(f"WITH {SEED} SELECT kind, size FROM (SELECT 'unit' kind, count(DISTINCT u) size FROM (SELECT unnest({_UNITS}) u FROM seed))")
 def entity_pools(spark, d):
-    return K.entity_pools(K.concept_bank(known(spark, d))).filter("kind = 'unit'").select("kind", F.size("pool").cast("long").alias("size"))
+    return K.entity_pools(K.concept_bank(recorded(spark, d, "scene_template", "persons", "focus_terms", "units"))).filter("kind = 'unit'").select("kind", F.size("pool").cast("long").alias("size"))
 
 
 @query()
 def entity_pools_all_kinds(spark, d):
     """The pools of all kinds with their terms; the SQL text of entity_pools has the size of the units' only."""
-    return K.entity_pools(K.concept_bank(known(spark, d))).select("kind", "pool", F.size("pool").cast("long").alias("size"))
+    return K.entity_pools(K.concept_bank(recorded(spark, d, "scene_template", "persons", "focus_terms", "units"))).select("kind", "pool", F.size("pool").cast("long").alias("size"))
 
 
 # -- answers and scores -----------------------------------------------------------------------------------------------
@@ -483,7 +500,7 @@ def clamp_score(spark, d):
 
 
 def checkable(spark, d) -> DataFrame:
-    s = seeds(spark, d)
+    s = spread(seeds(spark, d))
     steps = F.array(text(F.col("name"), " computes ", F.col("q").cast("string"), " * ", F.col("p").cast("string"), " = ", F.col("r").cast("string")), text("So the result is ", F.col("fin").cast("string")), F.when(F.col("k") == 5, text("so the result is", F.col("fin").cast("string"))).otherwise(""))
     return s.select("task_id", "k", "q", "p", "question", steps.alias("steps"), F.when(F.col("k") == 7, "").otherwise(F.col("fin").cast("string")).alias("answer"))
 
@@ -509,7 +526,7 @@ def voted(spark, d) -> DataFrame:
     vote = lambda i, answer, ok, c: F.struct(ok.alias("solvable"), F.lit(True).alias("unique_answer"), answer.alias("answer"), F.lit(c).alias("confidence"))
     yes = F.lit(True)
     first, second, third = f.cast("string"), text((f + F.when(k.isin(3, 5), 1).otherwise(0)).cast("string"), ".0"), (f + F.when(k == 5, 2).otherwise(0)).cast("string")
-    return seeds(spark, d).select("task_id", "k", "fin", F.array(vote(0, first, yes, 0.5), vote(1, second, yes, 0.9), vote(2, third, k != 6, 0.7)).alias("votes"))
+    return spread(seeds(spark, d)).select("task_id", "k", "fin", F.array(vote(0, first, yes, 0.5), vote(1, second, yes, 0.9), vote(2, third, k != 6, 0.7)).alias("votes"))
 
 
 @query(f"WITH {SEED} SELECT task_id, k <> 5 consensus, CASE WHEN k = 5 THEN 0 WHEN k IN (3, 6) THEN 2 ELSE 3 END n, CASE WHEN k = 5 THEN '' ELSE fin::VARCHAR END answer, 3 - (k = 6)::INT solvable, 0.7e0 confidence FROM seed")
@@ -780,13 +797,6 @@ def plan_rows(spark, d):
 # -- stages around the stub backend -----------------------------------------------------------------------------------
 
 
-def folder(spark) -> Folder:
-    """A new folder for a stage's files, gone at the driver's end."""
-    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
-    drop_at_exit(spark, path)
-    return Folder(spark, path)
-
-
 def bags(spark, d) -> DataFrame:
     """Word problems for the stub: a bags of b eggs, for each customer."""
     c = t(spark, d, "customer").select("c_custkey", (F.col("c_custkey") % 9 + 2).alias("a"), (F.col("c_custkey") % 7 + 2).alias("b"), "c_mktsegment")
