@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
@@ -15,7 +17,10 @@ from pyspark.sql import functions as F
 from ..session import drop_at_exit, shared_folder
 
 #: Bytes of text that one numpy working set may cover; a longer document is a set of its own.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
+
+#: Tokens whose numbers are computed at once.
+TOKENS_AT_ONCE = 16_384
 
 #: A longer text is not learned from, and what a model learns from has so many bytes at most.
 LEARN_BYTES = 1_000_000
@@ -105,6 +110,16 @@ def text_chunks(batches: Iterable[pa.RecordBatch], column: str = "text", max_byt
         yield batch.slice(start)
 
 
+def release_memory() -> None:
+    """Gives back what a worker process no longer needs, as an idle worker keeps its memory while other stages run."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 class TokenTable:
     """Rows of numbers for tokens, computed once per distinct token.
 
@@ -124,7 +139,7 @@ class TokenTable:
         unseen = list({t for c in counters for t in c if t not in self.index})
         if not unseen:
             return
-        fresh = self.compute(unseen)
+        fresh = np.concatenate([self.compute(unseen[at : at + TOKENS_AT_ONCE]) for at in range(0, len(unseen), TOKENS_AT_ONCE)])
         known = len(self.index)
         if self.rows is None or known + len(fresh) > len(self.rows):
             grown = np.zeros((max(2 * (known + len(fresh)), 1024), fresh.shape[1]), fresh.dtype)
@@ -190,6 +205,7 @@ def scored(docs: DataFrame, score: Callable[[list], np.ndarray], modulus: int, h
         for chunk in text_chunks(batches):
             p = np.clip(np.asarray(score(chunk.column("text").to_pylist()), np.float64), 0.0, 1.0)
             yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), chunk.column("held_out"), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+        release_memory()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     fold = F.coalesce(bucket_of(F.col("doc_id"), modulus) == held, F.lit(False)).alias("held_out")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LEARN_BYTES, LEARN_TOTAL, TokenTable, bounded, bucket_of, materialize, table, text_chunks, texts_within
+from .common import LEARN_BYTES, LEARN_TOTAL, TokenTable, bounded, bucket_of, materialize, release_memory, table, text_chunks, texts_within
 
 MODULUS, HELD = 4, 2
 SAMPLE = 1_500
@@ -239,6 +239,8 @@ def identify(docs: DataFrame, model: LanguageModel, keep: list[str] = ["doc_id"]
         for chunk in text_chunks(batches, "_text"):
             lang, score, rejected = model.predict(chunk.column("_text").to_pylist(), known)
             yield pa.RecordBatch.from_arrays([*(chunk.column(c) for c in keep), pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)], names=[*keep, "lang_pred", "score", "rejected"])
+        known = None
+        release_memory()
 
     given = docs.select(*keep, F.col("text").alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1])

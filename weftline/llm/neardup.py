@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded, compact, materialize, table, text_chunks
+from .common import bounded, compact, materialize, release_memory, table, text_chunks
 from .graph import components
 from .rolling import Prefix, mixed
 
@@ -193,6 +193,7 @@ def features(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [chunk.column("doc_id"), chunk.column("h"), pa.array(np.diff(at).astype(np.int64)), _signed(node), _signed(node2), pa.array([r.tobytes() for r in rows], pa.binary())], names=["doc_id", "h", "n", "node", "node2", "sketch"]
             )
+        release_memory()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(run, f"doc_id {kind}, h long, n long, node long, node2 long, sketch binary")
@@ -209,6 +210,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
             asked = chunk.column("node").to_numpy()
             keep = np.flatnonzero(node == asked)
             yield pa.RecordBatch.from_arrays([pa.array(node[keep]), pa.array([packed(h[at[i] : at[i + 1]]) for i in keep], pa.binary())], names=["node", "shingles"])
+        release_memory()
 
     return docs.select("text", "node").mapInArrow(run, "node long, shingles binary")
 
