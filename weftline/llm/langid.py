@@ -259,5 +259,8 @@ def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Null texts and texts without a letter are rejected; repeated rows share their fate;
     where no row has a lang there is no model, and all are rejected.
     """
-    whole = docs.select(F.struct("*").alias("_row"), "text")
-    return identify(whole, train(docs), ["_row"]).filter(~F.col("rejected")).select("_row.*")
+    keyed = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h"))
+    # Only texts go to the models; what they reject comes back as keys.
+    told = identify(docs.select("doc_id", "text", F.xxhash64("text").alias("_x")), train(docs), ["doc_id", "_x"]).filter("rejected")
+    gone = bounded(materialize(told.select(F.col("doc_id").alias("_d"), "_x").distinct()))
+    return keyed.join(gone, keyed["_id"].eqNullSafe(F.col("_d")) & (keyed["_h"] == F.col("_x")), "left_anti").select("_row.*")
