@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,6 +121,28 @@ def release_memory() -> None:
         pass
 
 
+def release_driver(spark: SparkSession) -> None:
+    """Gives back what the driver no longer needs: the memory of its Python, and what its JVM holds beside the heap.
+
+    The C library keeps what the JVM's threads have freed, more the more plans a
+    session has run. A JVM without the command that trims it keeps it.
+    """
+    release_memory()
+    jvm, array = spark._jvm, spark.sparkContext._gateway.new_array
+    jvm.System.gc()
+    try:
+        # By the interface's method, as the server's own class is not open to callers.
+        kinds = array(jvm.Class, 4)
+        for i, name in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+            kinds[i] = jvm.Class.forName(name)
+        values = array(jvm.Object, 4)
+        values[0], values[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+        jvm.Class.forName("javax.management.MBeanServer").getMethod("invoke", kinds).invoke(server, values)
+    except Py4JError:
+        pass
+
+
 class TokenTable:
     """Rows of numbers for tokens, computed once per distinct token.
 

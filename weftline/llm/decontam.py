@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded, materialize, table, written
+from .common import bounded, materialize, release_driver, table, written
 
 WINDOW = 10
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -146,9 +146,11 @@ def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     Documents without words stay; rows of the same doc_id and text share their fate.
     """
+    release_driver(spark)
     hit = contamination(docs, table(spark, sf_dir, "benchmark")).filter("contaminated").select(F.col("doc_id").alias("_d"), F.col("_h").alias("_x")).distinct()
     keyed = docs.select(F.struct("*").alias("_row"), "doc_id", F.xxhash64("text").alias("_h"))
     gone = bounded(materialize(hit))
+    release_driver(spark)
     return keyed.join(gone, keyed["doc_id"].eqNullSafe(F.col("_d")) & (keyed["_h"] == F.col("_x")), "left_anti").select("_row.*")
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LEARN_BYTES, LEARN_TOTAL, TokenTable, bounded, bucket_of, materialize, release_memory, table, text_chunks, texts_within
+from .common import LEARN_BYTES, LEARN_TOTAL, TokenTable, bounded, bucket_of, materialize, release_driver, release_memory, table, text_chunks, texts_within
 
 MODULUS, HELD = 4, 2
 SAMPLE = 1_500
@@ -259,8 +259,11 @@ def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Null texts and texts without a letter are rejected; repeated rows share their fate;
     where no row has a lang there is no model, and all are rejected.
     """
+    release_driver(spark)
     keyed = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h"))
+    model = train(docs)
+    release_driver(spark)  # the texts it was fitted on
     # Only texts go to the models; what they reject comes back as keys.
-    told = identify(docs.select("doc_id", "text", F.xxhash64("text").alias("_x")), train(docs), ["doc_id", "_x"]).filter("rejected")
+    told = identify(docs.select("doc_id", "text", F.xxhash64("text").alias("_x")), model, ["doc_id", "_x"]).filter("rejected")
     gone = bounded(materialize(told.select(F.col("doc_id").alias("_d"), "_x").distinct()))
     return keyed.join(gone, keyed["_id"].eqNullSafe(F.col("_d")) & (keyed["_h"] == F.col("_x")), "left_anti").select("_row.*")

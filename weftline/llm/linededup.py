@@ -36,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded, materialize, split_join, table, written
+from .common import bounded, materialize, release_driver, split_join, table, written
 
 MIN_DOCS = 4
 LEAD = 3
@@ -126,6 +126,7 @@ def op3_template_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: all documents, without recurring lines; null texts stay null."""
+    release_driver(spark)
     return drop_templates(docs)
 
 

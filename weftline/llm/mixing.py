@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_WORD, materialize, table
+from .common import SPACE_WORD, materialize, release_driver, table
 
 WEIGHTS = (3.0, 1.0, 2.0)
 BUDGET = 1.5
@@ -119,6 +119,7 @@ def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents without words have nothing to take and go; an empty table stays empty.
     """
+    release_driver(spark)
     return mix(docs).filter("taken > 0")
 
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded, compact, materialize, release_memory, table, text_chunks
+from .common import bounded, compact, materialize, release_driver, release_memory, table, text_chunks
 from .graph import components
 from .rolling import Prefix, mixed
 
@@ -363,7 +363,9 @@ def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     doc_id, the one of the smallest text hash; of rows that agree in both, any one.
     Null and wordless texts all stay.
     """
+    release_driver(spark)
     each = materialize(groups(docs, 80).filter("n > 0"))
+    release_driver(spark)
     stands = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("h") == F.col("first.h"))
     keys = each.select(F.col("doc_id").alias("_d"), F.col("h").alias("_x"), stands.alias("stands"))
     gone = materialize(keys.filter("NOT stands").select("_d", "_x").distinct())
