@@ -28,3 +28,8 @@ def test_scene_sources_against_all_pairs_in_small_cells(spark, monkeypatch, widt
             r = others[(stable(f"{x}|hard") + v) % len(others)]
             want[x, v] = (score(r), r[1])
     assert got == want
+
+
+def test_parts_count_with_their_whole_brand_and_name(spark, sf):
+    row = catalog._part_kb(spark, sf).join(catalog.t(spark, sf, "part").select(F.col("p_partkey").alias("ord"), "p_brand", "p_type", "p_name"), "ord").first()
+    assert row["skills"] == [row["p_brand"], row["p_type"]] and row["ops"] == row["p_name"].split(" ")
