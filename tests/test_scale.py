@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from weftline import catalog
 from weftline.operators import planning
+from weftline.plans.backend import StubBackend, infer
+from weftline.sources.store import Folder
 
 
 def stable(text):
@@ -33,3 +35,12 @@ def test_scene_sources_against_all_pairs_in_small_cells(spark, monkeypatch, widt
 def test_parts_count_with_their_whole_brand_and_name(spark, sf):
     row = catalog._part_kb(spark, sf).join(catalog.t(spark, sf, "part").select(F.col("p_partkey").alias("ord"), "p_brand", "p_type", "p_name"), "ord").first()
     assert row["skills"] == [row["p_brand"], row["p_type"]] and row["ops"] == row["p_name"].split(" ")
+
+
+def test_only_prompts_go_to_python_and_kept_rows_are_read_by_all_cores(spark, tmp_path):
+    folder = Folder(spark, str(tmp_path))
+    kept = folder.keep(spark.range(25_000).coalesce(1).withColumn("nested", F.struct("id")))
+    assert len(kept.inputFiles()) == 3
+    asked = infer(kept, F.concat(F.lit("Question: 2 * "), F.col("id").cast("string")), StubBackend(), F.lit(0.5))
+    assert "MapInPandas" not in asked._jdf.queryExecution().toString() and asked.columns == ["id", "nested", "raw", "request_error"]
+    assert asked.filter("nested.id = id AND request_error = '' AND raw <> ''").count() == 25_000
