@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftline import catalog
-from weftline.operators import planning
+from weftline.functions import text as T
+from weftline.operators import kb, planning
 from weftline.plans.backend import StubBackend, infer
 from weftline.sources.store import Folder
 
@@ -44,3 +45,13 @@ def test_only_prompts_go_to_python_and_kept_rows_are_read_by_all_cores(spark, tm
     asked = infer(kept, F.concat(F.lit("Question: 2 * "), F.col("id").cast("string")), StubBackend(), F.lit(0.5))
     assert "MapInPandas" not in asked._jdf.queryExecution().toString() and asked.columns == ["id", "nested", "raw", "request_error"]
     assert asked.filter("nested.id = id AND request_error = '' AND raw <> ''").count() == 25_000
+
+
+def test_banks_of_texts_are_those_of_records(spark):
+    say = lambda i: ["Maria buys 3 eggs. How many Total Eggs and total eggs?", "Tom packs 2 boxes.  How many?", " Maria  buys 3 eggs. How many Total Eggs and total eggs?"][i % 3]
+    rows = [(i, None if i == 5 else str(90 - i), say(i), str(i % 2), "<<1+2=3>>", [None, "", "a", "b"][i % 4]) for i in range(24)] + [(99, "x", " ", "1", "", "a")]
+    given = spark.createDataFrame(rows, "ord long, task_id string, question string, answer string, solution_steps string, question_type string")
+    plain, texts = kb.records(given), kb.text_records(given).persist()
+    assert texts.count() == 6 and texts.agg(F.sum("n")).first()[0] == 24
+    for bank in (kb.concept_bank, kb.scene_bank, kb.template_bank, kb.knowledge_bank):
+        assert bank(texts, given).collect() == bank(plain).collect()
