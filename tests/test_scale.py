@@ -55,3 +55,10 @@ def test_banks_of_texts_are_those_of_records(spark):
     assert texts.count() == 6 and texts.agg(F.sum("n")).first()[0] == 24
     for bank in (kb.concept_bank, kb.scene_bank, kb.template_bank, kb.knowledge_bank):
         assert bank(texts, given).collect() == bank(plain).collect()
+
+
+def test_white_space_and_sentences(spark):
+    texts = ["a b", " a  b\t\tc ", "a\n b c  d", "", None, "  ", "One.\nTwo  x. One . Two x! ?"]
+    df = spark.createDataFrame([(x,) for x in texts], "x string").select(T.ws(F.col("x")).alias("w"), T.sentences(F.col("x")).alias("s")).collect()
+    assert [r["w"] for r in df] == [" ".join((x or "").split()) for x in texts]
+    assert df[-1]["s"] == ["One.", "Two x.", "One .", "Two x!", "?"]
