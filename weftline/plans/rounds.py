@@ -252,7 +252,8 @@ def _repaired(bad: DataFrame, backend: Backend, folder: Folder, columns: list[st
 def failures_to_retry(failures: DataFrame, plans: DataFrame) -> DataFrame:
     """Failed validations as generation failures that a resumed generation takes up; those of no known plan go."""
     named = F.coalesce(F.nullif(F.trim("error_type"), F.lit("")), F.nullif(F.trim("repair_action"), F.lit("")), F.lit("failed"))
-    side = plans.select(F.col("plan_id").alias("_plan"), F.col("knowledge").alias("_known")).dropDuplicates(["_plan"])
+    # Of all plans only those that failed are sorted, as a plan is a long row.
+    side = plans.join(failures.select("plan_id").distinct(), "plan_id", "left_semi").select(F.col("plan_id").alias("_plan"), F.col("knowledge").alias("_known")).dropDuplicates(["_plan"])
     x = failures.filter("plan_id <> ''").join(side, F.col("plan_id") == F.col("_plan"), "left").withColumns({"failure_type": F.concat(F.lit("validation_"), named), "attempts": (F.coalesce("round", F.lit(0)) + 1).cast("int")})
     chosen = F.coalesce("next_plan", "active_plan", P.replan(F.col("_known"), F.col("plan_id"), F.col("failure_type"), F.col("attempts")))
     return x.select(
