@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftline import catalog
+from weftline.functions import jsonx
 from weftline.functions import text as T
 from weftline.operators import kb, planning
+from weftline.plans import rounds
 from weftline.plans.backend import StubBackend, infer
 from weftline.sources.store import Folder
 
@@ -62,3 +64,31 @@ def test_white_space_and_sentences(spark):
     df = spark.createDataFrame([(x,) for x in texts], "x string").select(T.ws(F.col("x")).alias("w"), T.sentences(F.col("x")).alias("s")).collect()
     assert [r["w"] for r in df] == [" ".join((x or "").split()) for x in texts]
     assert df[-1]["s"] == ["One.", "Two x.", "One .", "Two x!", "?"]
+
+
+def test_equal_replies_of_a_batch_are_read_once(spark, tmp_path):
+    log = tmp_path / "log"
+
+    def parse(x):
+        with open(log, "a") as f:
+            f.write(f"{x}\n")
+        return {"a": x}
+
+    df = spark.createDataFrame([("x",), ("y",), ("x",), (None,), (None,)], "raw string").coalesce(1)
+    assert [r[0] for r in df.select(jsonx._frame(parse, "a string, b int")("raw").alias("p")).select("p.a").collect()] == ["x", "y", "x", None, None]
+    assert sorted(log.read_text().split()) == ["None", "x", "y"]
+
+
+def test_texts_are_counted(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), (None, 2), (None, 2), ("b", 1)], "x string, y int")
+    assert sorted(map(tuple, catalog.counted(df, "x", "y").collect()), key=repr) == sorted([("a", 1, 2), (None, 2, 2), ("b", 1, 1)], key=repr)
+
+
+def test_failures_without_a_plan_go_and_others_take_theirs(spark):
+    plans = spark.range(6).select(F.concat_ws("_", F.lit("p"), F.col("id").cast("string")).alias("plan_id"), F.expr("named_struct('at', id)").alias("knowledge"))
+    none = F.lit(None).cast("struct<at:bigint>")
+    failed = spark.createDataFrame([("p_1",), ("p_1",), ("q",)], "plan_id string").select("plan_id", *(F.lit("x").alias(c) for c in ("source_task_id", "difficulty", "question", "error_type", "repair_action")), F.lit(0).alias("round"), F.when(F.col("plan_id") == "p_1", F.expr("named_struct('at', 7L)")).alias("next_plan"), none.alias("active_plan"))
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(rounds.P, "replan", lambda known, *_: known)
+        out = rounds.failures_to_retry(failed, plans)
+    assert sorted((r["plan_id"], r["plan"]["at"], r["next_plan"]["at"]) for r in out.collect()) == [("p_1", 1, 7), ("p_1", 1, 7)] and "LeftSemi" in out._jdf.queryExecution().optimizedPlan().toString()
